@@ -1,9 +1,17 @@
 from pyspark.sql import Column, functions as F
 
 
+# The characters that count as blanks.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Text without any kind of blank at its ends (``trim`` takes only spaces)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Text without any kind of blank at its ends (``trim`` alone takes only spaces)."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def halves(text: Column, separator: str) -> tuple[Column, Column]:

@@ -23,29 +23,32 @@ def serial(day: Column) -> Column:
     return F.date_diff(day.cast("date"), F.lit(SERIAL_EPOCH).cast("date")).cast("double")
 
 
+def text(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, city = F.col("c_nationkey"), F.col("c_mktsegment")
     state = F.lpad(nation.cast("string"), 2, "0")
     place = (
-        F.when(nation == 3, F.format_string("No PORT Code (%s)", city))
-        .when(nation == 4, F.format_string("Collapsed into %s, %s", city, state))
-        .when(nation == 5, F.format_string("Collapsed (%s) 06/15", city))
-        .when(nation == 6, F.format_string("%s, %s (BPS)", city, state))
-        .when(nation == 7, F.format_string("%s %s", city, state))
-        .when(nation == 8, F.format_string("PORT, %s, %s", city, state))
-        .when(nation == 10, F.format_string("%s,%s", city, state))
-        .when(nation == 11, F.format_string("%s''%s, %s", F.left(city, F.lit(2)),
-                                            F.substring(city, 3, 99), state))
-        .otherwise(F.format_string("%s, %s      ", city, state))
+        F.when(nation == 3, text("No PORT Code (", city, ")"))
+        .when(nation == 4, text("Collapsed into ", city, ", ", state))
+        .when(nation == 5, text("Collapsed (", city, ") 06/15"))
+        .when(nation == 6, text(city, ", ", state, " (BPS)"))
+        .when(nation == 7, text(city, " ", state))
+        .when(nation == 8, text("PORT, ", city, ", ", state))
+        .when(nation == 10, text(city, ",", state))
+        .when(nation == 11, text(city.substr(1, 2), "''", city.substr(3, 99), ", ", state))
+        .otherwise(text(city, ", ", state, "      "))
     )
-    line = F.format_string("   '%s'\t=\t'%s'  ", F.col("c_custkey").cast("string"), place)
+    line = text("   '", F.col("c_custkey").cast("string"), "'\t=\t'", place, "'  ")
     return table(spark, sf_dir, "customer").select(line.alias("value"))
 
 
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
     code = F.when(F.col("n_nationkey") == 9, "99").otherwise(code)
-    line = F.format_string("\t'%s'='%s' ", code, F.col("n_name"))
+    line = text("\t'", code, "'='", F.col("n_name"), "' ")
     return table(spark, sf_dir, "nation").select(line.alias("value"))
 
 
@@ -53,13 +56,13 @@ def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A code list of customers, with the junk entries that country lists have."""
     segment, key, name = F.col("c_mktsegment"), F.col("c_custkey"), F.col("c_name")
     entry = (
-        F.when(segment == "BUILDING", F.format_string("INVALID: %s", name))
-        .when(segment == "MACHINERY", F.format_string("No Country Code (%s)", key.cast("string")))
-        .when(segment == "HOUSEHOLD", F.format_string("Collapsed %s (should not show)", name))
-        .when(segment == "FURNITURE", F.format_string("%s (a, b)", name))
-        .otherwise(F.format_string("%s  ", name))
+        F.when(segment == "BUILDING", text("INVALID: ", name))
+        .when(segment == "MACHINERY", text("No Country Code (", key.cast("string"), ")"))
+        .when(segment == "HOUSEHOLD", text("Collapsed ", name, " (should not show)"))
+        .when(segment == "FURNITURE", text(name, " (a, b)"))
+        .otherwise(text(name, "  "))
     )
-    line = F.format_string(" %s  =  '%s' ", key.cast("string"), entry)
+    line = text(" ", key.cast("string"), "  =  '", entry, "' ")
     return table(spark, sf_dir, "customer").select(line.alias("value"))
 
 
@@ -102,22 +105,26 @@ def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _temperatures(
     spark: SparkSession, sf_dir: str, rows: DataFrame, customer: str, day: str
 ) -> DataFrame:
-    # The measure is reduced by day and customer first, so the joins see no more than that.
-    daily = rows.groupBy(F.col(customer).alias("c_custkey"), "Country", F.to_date(day).alias("day"))
-    daily = daily.agg(F.max("measure").alias("measure"))
     customers = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment"
+        F.col("c_custkey").alias(customer),
+        F.col("c_nationkey").alias("n_nationkey"),
+        F.col("c_mktsegment").alias("segment"),
     )
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    placed = daily.join(customers, "c_custkey").join(nations, "n_nationkey")
-    return placed.groupBy(
+    daily = (
+        rows.join(customers, customer)
+        .groupBy("Country", "n_nationkey", "segment", F.to_date(day).alias("day"))
+        .agg(F.max("measure").alias("AvgTemperature"))
+    )
+    return daily.join(nations, "n_nationkey").select(
         "Country",
         F.initcap("n_name").alias("State"),
-        F.initcap("c_mktsegment").alias("City"),
+        F.initcap("segment").alias("City"),
         F.month("day").alias("Month"),
         F.dayofmonth("day").alias("Day"),
         F.year("day").alias("Year"),
-    ).agg(F.max("measure").alias("AvgTemperature"))
+        "AvgTemperature",
+    )
 
 
 def order_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
