@@ -11,15 +11,19 @@ from landfall.operators.dimensions import (
 )
 from landfall.operators.rankings import visits_by
 from landfall.operators.staging import (
+    distinct_where_repeated,
+    keep_arrivals,
     keep_listed,
     keep_present,
+    repeated_values,
     stage_arrivals,
     stage_temperatures,
 )
 from landfall.operators.visits import build_visits, port_coverage
 
 __all__ = [
-    "build_visits", "code_list", "date_dim", "keep_listed", "keep_present", "known_ports",
-    "port_coverage", "port_places", "port_rejects", "ports_dim", "stage_arrivals",
-    "stage_temperatures", "state_names", "visits_by",
+    "build_visits", "code_list", "date_dim", "distinct_where_repeated", "keep_arrivals",
+    "keep_listed", "keep_present", "known_ports", "port_coverage", "port_places",
+    "port_rejects", "ports_dim", "repeated_values", "stage_arrivals", "stage_temperatures",
+    "state_names", "visits_by",
 ]

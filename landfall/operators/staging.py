@@ -27,14 +27,36 @@ def keep_listed(df: DataFrame, column: str, listed: DataFrame | Sequence[str]) -
     return df.join(values, column, "left_semi").select(*df.columns)
 
 
+def keep_arrivals(raw: DataFrame, ports: DataFrame | Sequence[str]) -> DataFrame:
+    """Arrivals at known ports with departure, mode and match flag."""
+    return keep_listed(keep_present(raw, REQUIRED_COLUMNS), "i94port", ports)
+
+
 def stage_arrivals(raw: DataFrame, ports: DataFrame | Sequence[str]) -> DataFrame:
-    """Distinct arrivals at known ports with departure, mode and match flag.
+    """The distinct rows of ``keep_arrivals``.
 
     The filters stand before the distinct, so that only kept rows are shuffled. The distinct
     aggregates within each task first: copies of one row travel once per task.
     """
-    kept = keep_listed(keep_present(raw, REQUIRED_COLUMNS), "i94port", ports)
-    return kept.distinct()
+    return keep_arrivals(raw, ports).distinct()
+
+
+def repeated_values(df: DataFrame, column: str) -> DataFrame:
+    """The values, null included, that a column holds more than once."""
+    counts = df.groupBy(column).agg(F.count("*").alias("copies"))
+    return counts.filter(F.col("copies") > 1).select(column)
+
+
+def distinct_where_repeated(df: DataFrame, column: str, repeated: DataFrame) -> DataFrame:
+    """The distinct rows of ``df``, given the ``repeated_values`` of one of its columns.
+
+    Equal rows are equal in that column, so all other rows are unique and need no shuffle.
+    For a column close to a key and a broadcast list, the distinct sees few rows.
+    """
+    values = repeated.select(F.col(column).alias("repeated"))
+    same = df[column].eqNullSafe(values["repeated"])
+    copies = df.join(values, same, "left_semi").distinct()
+    return df.join(values, same, "left_anti").unionAll(copies)
 
 
 def stage_temperatures(

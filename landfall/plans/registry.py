@@ -12,12 +12,14 @@ from landfall.operators import (
     build_visits,
     code_list,
     date_dim,
+    distinct_where_repeated,
     keep_listed,
     keep_present,
     known_ports,
     port_coverage,
     port_rejects,
     ports_dim,
+    repeated_values,
     stage_arrivals,
     stage_temperatures,
     visits_by,
@@ -200,6 +202,17 @@ def na_drop(spark, sf_dir):
     return keep_present(orders, ["status", "price"])
 
 
+@query("SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def distinct_rows(spark, sf_dir):
+    """Orders of which those pending stand twice, without copies; their key tells which."""
+    orders = mapped.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
+    )
+    doubled = orders.unionAll(orders.filter(F.col("o_orderstatus") == "P"))
+    repeated = repeated_values(doubled, "o_orderkey")
+    return distinct_where_repeated(doubled, "o_orderkey", repeated)
+
+
 @query(f"SELECT * FROM ({TEMPERATURES}) WHERE country = 'F' AND year = 1998 AND month = 7")
 def stage_measure(spark, sf_dir):
     raw = mapped.order_temperatures(spark, sf_dir)

@@ -10,9 +10,11 @@ from landfall.operators import (
     build_visits,
     code_list,
     date_dim,
+    distinct_where_repeated,
+    keep_arrivals,
     known_ports,
     ports_dim,
-    stage_arrivals,
+    repeated_values,
     stage_temperatures,
     visits_by,
 )
@@ -30,6 +32,7 @@ from landfall.sources import (
     read_lines,
     read_table,
     read_temperatures,
+    shared_folder,
     write_by_date,
     write_table,
 )
@@ -62,6 +65,24 @@ class Outcome:
     top_cities: DataFrame
 
 
+def distinct_arrivals(spark: SparkSession, kept: DataFrame) -> DataFrame:
+    """The distinct rows of columnar files, without shuffling those that cannot have a copy.
+
+    A first pass reads little more than ``cicid``, which is nearly unique, and writes its
+    repeated values to the shared folder. Only rows with one of these are compared as a whole.
+    If the values are too many to broadcast, all rows are.
+    """
+    root = shared_folder(spark, "repeated")
+    write_table(repeated_values(kept, "cicid"), root, "cicid")
+    repeated = read_table(spark, root, "cicid")
+    number = repeated.count()
+    if number == 0:
+        return kept
+    if number > BROADCAST_ROWS:
+        return kept.distinct()
+    return distinct_where_repeated(kept, "cicid", F.broadcast(repeated))
+
+
 def stage(
     spark: SparkSession,
     inputs: Inputs,
@@ -73,8 +94,9 @@ def stage(
 ) -> None:
     """Write both staging tables."""
     arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
-    ports = known_ports(read_lines(spark, inputs.ports))
-    staged = stage_arrivals(arrivals, ports)
+    kept = keep_arrivals(arrivals, known_ports(read_lines(spark, inputs.ports)))
+    columnar = inputs.arrivals_format != "csv"
+    staged = distinct_arrivals(spark, kept) if columnar else kept.distinct()
     write_by_date(staged, output, fixed.STAGE_ARRIVALS, only_dates=only_dates)
     temperatures = read_temperatures(spark, inputs.temperatures)
     daily = stage_temperatures(temperatures, country, year, month)

@@ -1,7 +1,15 @@
+from collections import Counter
+
 import pytest
 
 from fixtures import ARRIVAL_SCHEMA, ARRIVALS, TEMPERATURES, rows
-from landfall.operators import keep_listed, stage_arrivals, stage_temperatures
+from landfall.operators import (
+    distinct_where_repeated,
+    keep_listed,
+    repeated_values,
+    stage_arrivals,
+    stage_temperatures,
+)
 from landfall.sources import read_delimited, read_temperatures
 
 KNOWN = ["ABC", "DEF", "INX", "MOB", "NOT", "GHI"]
@@ -22,6 +30,17 @@ def test_repeated_codes_do_not_repeat_rows(spark):
     assert rows(keep_listed(df, "port", codes)) == [("a",), ("a",)]
 
 
+def test_distinct_by_key_is_distinct(spark):
+    keys = [None, 0.0, -0.0, 1.0, float("nan")]
+    data = [(k, v) for k in keys for v in (None, "a", "b")] * 2 + [(2.0, "a"), (3.0, None)]
+    df = spark.createDataFrame(data, "k double, v string")
+    got = distinct_where_repeated(df, "k", repeated_values(df, "k"))
+    # Adding zero makes one value of the two zeros, which are equal to Spark.
+    assert Counter(repr(tuple(r)) for r in got.selectExpr("k + 0.0D", "v").collect()) == Counter(
+        repr(tuple(r)) for r in df.distinct().selectExpr("k + 0.0D", "v").collect()
+    )
+
+
 @pytest.fixture
 def raw_temperatures(spark, tmp_path):
     path = tmp_path / "temperatures.csv"

@@ -50,6 +50,18 @@ def test_run_twice(spark, tmp_path, monkeypatch, broadcast_rows):
     ]
 
 
+@pytest.mark.parametrize("broadcast_rows", [10, 0])
+@pytest.mark.parametrize("copied", [[], [0], [0, 1, 2]])
+def test_distinct_arrivals(spark, tmp_path, monkeypatch, broadcast_rows, copied):
+    """Without copies, with some, and with more repeated keys than may be broadcast."""
+    monkeypatch.setattr(warehouse, "BROADCAST_ROWS", broadcast_rows)
+    data = [(None, "a"), (1.0, "a"), (2.0, "b"), (3.0, "b"), (3.0, "c")]
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(data + [data[i] for i in copied] * 3, "cicid double, x string")
+    df.write.parquet(path)
+    assert rows(warehouse.distinct_arrivals(spark, spark.read.parquet(path))) == data
+
+
 def test_partition_keys_read_back_typed(spark, tmp_path):
     inputs, output = land(spark, tmp_path / "in"), str(tmp_path / "out")
     warehouse.run(spark, inputs, output, 2016, 4)
