@@ -92,8 +92,14 @@ def stage(
     country: str = "US",
     only_dates: bool = False,
 ) -> None:
-    """Write both staging tables."""
+    """Write both staging tables.
+
+    With ``only_dates``, arrivals outside the month are left out: a few stray rows would
+    otherwise replace all that another month has brought for their date.
+    """
     arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
+    if only_dates:
+        arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
     kept = keep_arrivals(arrivals, known_ports(read_lines(spark, inputs.ports)))
     columnar = inputs.arrivals_format != "csv"
     staged = distinct_arrivals(spark, kept) if columnar else kept.distinct()

@@ -102,6 +102,7 @@ def test_a_month_is_added_to_others(spark, tmp_path):
     arrivals = [
         (100.0, 717.0, "ABC", 20575.0, 1.0, 20580.0, 1.0, "B1", "M"),
         (101.0, 717.0, "DEF", 20575.0, 1.0, 20581.0, 1.0, "B1", "M"),
+        (102.0, 717.0, "ABC", 20545.0, 1.0, 20581.0, 1.0, "B1", "M"),  # a stray from April
     ]
     may = land(spark, tmp_path / "may", arrivals=arrivals)
     for _ in range(2):
