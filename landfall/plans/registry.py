@@ -175,8 +175,8 @@ def ranked(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
 """)
 def stage_visits_semi(spark, sf_dir):
     arrivals = mapped.order_arrivals(spark, sf_dir)
-    known = known_ports(mapped.port_lines(spark, sf_dir))
-    return stage_arrivals(arrivals.unionAll(arrivals), known)
+    doubled = arrivals.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return stage_arrivals(doubled, known_ports(mapped.port_lines(spark, sf_dir)))
 
 
 @query("""
@@ -205,19 +205,20 @@ def na_drop(spark, sf_dir):
 @query("SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def distinct_rows(spark, sf_dir):
     """Orders of which those pending stand twice, without copies; their key tells which."""
-    orders = mapped.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
-    )
-    doubled = orders.unionAll(orders.filter(F.col("o_orderstatus") == "P"))
-    repeated = repeated_values(doubled, "o_orderkey")
+    copies = F.when(F.col("o_orderstatus") == "P", 2).otherwise(1)
+    doubled = mapped.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
+    ).drop("copy")
+    repeated = landed(spark, repeated_values(doubled, "o_orderkey"), "repeated")
     return distinct_where_repeated(doubled, "o_orderkey", repeated)
 
 
 @query(f"SELECT * FROM ({TEMPERATURES}) WHERE country = 'F' AND year = 1998 AND month = 7")
 def stage_measure(spark, sf_dir):
     raw = mapped.order_temperatures(spark, sf_dir)
-    other_case = raw.withColumn("City", F.lower("City"))
-    return stage_temperatures(raw.unionAll(other_case), "F", 1998, 7)
+    spellings = F.explode(F.array("City", F.lower("City")))
+    return stage_temperatures(raw.withColumn("City", spellings), "F", 1998, 7)
 
 
 # --- Sources and sinks --------------------------------------------------------------------
