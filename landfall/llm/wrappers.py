@@ -22,7 +22,6 @@ columns are ignored.
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -73,11 +72,18 @@ class Element:
         self.name, self.sig, self.kind, self.inside = name, sig, kind, []
 
 
+_NATURES: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _element(name: str, attributes: str) -> Element:
-    return Element(name, *(_nature(name, attributes) if "class" in attributes or "=" in attributes and name != "a" else _nature(name, "")))
+    key = (name, attributes if name != "a" and "=" in attributes or "class" in attributes else "")
+    if key not in _NATURES:
+        if len(_NATURES) > 4096:
+            _NATURES.clear()
+        _NATURES[key] = _nature(*key)
+    return Element(name, *_NATURES[key])
 
 
-@lru_cache(4096)
 def _nature(name: str, attributes: str) -> tuple[str, str]:
     """Signature of a tag, and whether it is the article's, template or neither."""
     values = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
