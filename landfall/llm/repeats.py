@@ -14,8 +14,8 @@ the same place wherever they stand. So
    by window: those samples, and one of each repeated span beside them, hand in the bytes of their
    span, and each window is ranked. Windows met twice are repeated.
 
-Buckets of up to ``TOGETHER`` samples are sorted one after the other, each as a whole, in a few MB. The
-samples of larger ones are counted by key instead, aggregated before they are shuffled and joined
+Buckets of up to ``SAMPLES_TOGETHER`` samples, and in step 3 ``SPANS_TOGETHER`` spans, are sorted one after the
+other, each as a whole, in some 20 MB. The samples of larger ones are counted by key instead, aggregated before they are shuffled and joined
 back with joins that adaptive execution splits; so a bucket may hold a third of all samples.
 Ranks are 64-bit hashes, and two of them must agree. Texts are processed in blocks of ``BLOCK`` bytes.
 
@@ -36,7 +36,8 @@ from landfall.llm.tables import stored, texts
 
 LENGTH = 200
 GRAM = 64
-TOGETHER = 10_000
+# Samples, and distinct spans of bytes, of a bucket that one task sorts: some 20 MB, and 3 MB with 20 MB of ranks.
+SAMPLES_TOGETHER, SPANS_TOGETHER = 500_000, 10_000
 BLOCK = 1 << 22
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -156,9 +157,10 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         repeated = np.bincount(group)[group] > 1
         first_of_bucket = np.r_[True, np.diff(buckets[order]) != 0]
         bucket = np.cumsum(first_of_bucket) - 1
-        several = np.bincount(bucket, weights=begins)[bucket] > 1
-        for chosen, ask in ((order[repeated], False), (order[several & begins], True)):
-            some = rows.take(pa.array(chosen)).select(["bucket", "dk", "low", "more", "n"]).append_column("ask", pa.array(np.full(len(chosen), ask)))
+        spans_of = np.bincount(bucket, weights=begins).astype(np.int64)[bucket]
+        for which, ask in ((repeated, False), ((spans_of > 1) & begins, True)):
+            some = rows.take(pa.array(order[which])).select(["bucket", "dk", "low", "more"])
+            some = some.append_column("n", pa.array(spans_of[which])).append_column("ask", pa.array(np.full(which.sum(), ask)))
             yield from some.combine_chunks().to_batches()
 
 
@@ -255,7 +257,9 @@ def _kept(length: int) -> callable:
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, together: int = TOGETHER) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, samples_together: int = SAMPLES_TOGETHER, spans_together: int = SPANS_TOGETHER
+) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept`` of every row: what is removed, and what is left of its UTF-8 bytes."""
     if not 0 < gram <= length:
         raise ValueError("gram must be from 1 to length")
@@ -267,12 +271,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, toge
     samples = stored(samples.join(often, "bucket"), "repeats-samples")
     # 2. Spans.
     kind = "bucket long, dk long, low long, more int, n long, ask boolean"
-    few = samples.filter(F.col("n") <= together).repartition("bucket").sortWithinPartitions("bucket")
-    many = samples.filter(F.col("n") > together)
-    by_span = many.groupBy("bucket", "span").agg(F.count("*").alias("c"), F.min(F.struct("dk", "low", "more", "n")).alias("one"))
+    few = samples.filter(F.col("n") <= samples_together).repartition("bucket").sortWithinPartitions("bucket")
+    many = samples.filter(F.col("n") > samples_together)
+    by_span = many.groupBy("bucket", "span").agg(F.count("*").alias("c"), F.min(F.struct("dk", "low", "more")).alias("one"))
     whole = many.join(by_span.filter("c > 1").select("bucket", "span"), ["bucket", "span"])
-    several = by_span.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket")
-    asked = by_span.join(several, "bucket").select("bucket", "one.*")
+    several = by_span.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    asked = by_span.join(several, "bucket").select("bucket", "one.*", "n")
     columns = ["bucket", "dk", "low", "more", "n"]
     decided = few.mapInArrow(_sorted_spans, kind)
     decided = decided.unionAll(whole.select(*columns, F.lit(False))).unionAll(asked.select(*columns, F.lit(True)))
@@ -281,10 +285,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, toge
     text = own.mapInArrow(_zipped, "doc_id long, dk long, zipped binary")
     asked = decided.filter("ask").groupBy("dk").agg(F.collect_list(F.struct("bucket", "n", "low", "more")).alias("asked"))
     spans = text.join(asked, "dk").mapInArrow(_bytes_of_spans(length), "bucket long, n long, dk long, low long, bytes binary")
-    few = spans.filter(F.col("n") <= together).repartition("bucket").sortWithinPartitions("bucket")
+    few = spans.filter(F.col("n") <= spans_together).repartition("bucket").sortWithinPartitions("bucket")
     found = few.mapInArrow(_sorted_windows(length), "dk long, low long, more int")
-    if samples.filter(F.col("n") > together).limit(1).count():
-        many = spans.filter(F.col("n") > together).mapInArrow(_windows(length), "bucket long, window long, dk long, low long")
+    if decided.filter(F.col("ask") & (F.col("n") > spans_together)).limit(1).count():
+        many = spans.filter(F.col("n") > spans_together).mapInArrow(_windows(length), "bucket long, window long, dk long, low long")
         met = many.groupBy("bucket", "window").agg(F.count("*").alias("c")).filter("c > 1").select("bucket", "window")
         found = found.unionAll(many.join(met, ["bucket", "window"]).select("dk", "low", F.lit(0).alias("more")))
     found = decided.filter("not ask").select("dk", "low", "more").unionAll(found)
