@@ -31,37 +31,47 @@ FIELD = "<*>"
 BROADCAST_ROWS = 500_000
 
 
+def _even(raw):
+    """A line with single blanks and none at its ends."""
+    odd = raw.contains("  ")
+    for blank in "\t\r\f\x0b":
+        odd = odd | raw.contains(blank)
+    return F.trim(F.when(odd, F.regexp_replace(raw, r"[ \t\r\f\x0B]+", " ")).otherwise(raw))
+
+
+def _masked(even):
+    """Words with figures are variable fields."""
+    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
+
+
 def lines(docs: DataFrame, words: int = WORDS, leading: int = LEADING) -> DataFrame:
-    """``doc_id, row, at, masked, n, leaf, line``: every line of enough words, its place in the tree and its hash."""
+    """``doc_id, row, at, leaf, line``: every line of enough words, its place in the tree and its hash."""
     every = docs.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
-    raw = F.col("raw")
-    even = F.trim(F.when(raw.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(raw, r"[ \t\r\f\x0B]+", " ")).otherwise(raw))
-    every = every.select("doc_id", "row", "at", even.alias("even"))
+    every = every.select("doc_id", "row", "at", _even(F.col("raw")).alias("even"))
     every = every.withColumn("n", F.length("even") - F.length(F.replace("even", F.lit(" "), F.lit(""))) + 1).filter(F.col("n") >= words)
-    masked = F.when(F.col("even").rlike("[0-9]"), F.regexp_replace("even", r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(F.col("even"))
-    every = every.select("doc_id", "row", "at", "n", masked.alias("masked"))
-    return every.select(
-        "doc_id", "row", "at", "masked", "n",
-        F.xxhash64("n", F.substring_index("masked", " ", leading)).alias("leaf"), F.xxhash64("masked").alias("line"),
-    )
+    every = every.select("doc_id", "row", "at", "n", _masked(F.col("even")).alias("masked"))
+    leaf = F.xxhash64("n", F.substring_index("masked", " ", leading))
+    return every.select("doc_id", "row", "at", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring(
-    docs: DataFrame, least: int = LEAST, share: float = SHARE, words: int = WORDS, leading: int = LEADING,
-    broadcast_rows: int = BROADCAST_ROWS,
+    docs: DataFrame, every: DataFrame, least: int = LEAST, share: float = SHARE, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``leaf, line, template, documents, first``: the distinct lines of templates that recur."""
-    every = lines(docs, words, leading)
+    """``leaf, line, template, documents, first``: the distinct lines of templates that recur; ``every`` has the lines of ``docs``."""
     # Distinct lines with their documents, in leaves that enough documents share.
-    counts = every.groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "line")
-    counts = stored(counts.agg(F.count("*").alias("documents"), F.min("doc_id").alias("first")), "lines")
+    counts = every.groupBy("leaf", "line", "doc_id").agg(F.min(F.struct("row", "at")).alias("place")).groupBy("leaf", "line")
+    counts = counts.agg(F.count("*").alias("documents"), F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "place")).alias("one"))
+    counts = stored(counts, "lines")
     leaves = counts.groupBy("leaf").agg(F.sum("documents").alias("d")).filter(F.col("d") >= least).select("leaf")
     counts = stored(counts.join(leaves, "leaf"), "shared-lines")
-    wanted = F.broadcast(counts) if counts.count() <= broadcast_rows else counts
-    # Their words. One row of each line is enough: that of its first document, or any where ids are null.
-    one = F.coalesce(F.col("doc_id") == F.col("first"), F.col("first").isNull())
-    spelled = every.select("doc_id", "masked", "leaf", "line").join(wanted, ["leaf", "line"]).filter(one)
-    spelled = stored(spelled.groupBy("leaf", "line", "documents", "first").agg(F.min("masked").alias("masked")), "spelled-lines")
+    # The words of each, from one place where it stands; those of one document are fetched together.
+    wanted = counts.groupBy(F.col("one.doc_id").alias("of"), F.col("one.place.row").alias("row"))
+    wanted = wanted.agg(F.collect_list(F.struct("leaf", "line", "documents", "first", F.col("one.place.at").alias("at"))).alias("wanted"))
+    wanted = F.broadcast(wanted) if counts.count() <= broadcast_rows else wanted
+    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("row")))
+    found = found.select(F.split("text", "\n").alias("raw"), F.explode("wanted").alias("w")).select("w.*", F.expr("get(raw, w.at)").alias("raw"))
+    found = found.withColumn("masked", _masked(_even(F.col("raw"))))
+    spelled = stored(found.groupBy("leaf", "line", "documents", "first").agg(F.min("masked").alias("masked")), "spelled-lines")
     placed = spelled.select("leaf", "line", "documents", F.posexplode(F.split("masked", " ")).alias("at", "word"))
     agreed = placed.groupBy("leaf", "at", "word").agg(F.sum("documents").alias("d")).filter(F.col("d") >= least).select("leaf", "at", "word", F.lit(1).alias("stays"))
     placed = placed.join(agreed, ["leaf", "at", "word"], "left")
@@ -79,8 +89,9 @@ def drop_recurring_lines(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All columns of ``docs``, with ``text`` less the lines of recurring templates, and ``n_lines, n_dropped``."""
-    found = stored(recurring(docs, least, share, words, leading, broadcast_rows).select("leaf", "line", "first"), "recurring-lines")
-    every = lines(docs, words, leading).select("doc_id", "row", "at", "leaf", "line")
+    own = docs.select("doc_id", "text")
+    every = stored(lines(own, words, leading), "placed-lines")
+    found = stored(recurring(own, every, least, share, broadcast_rows).select("leaf", "line", "first"), "recurring-lines")
     dropped = every.join(found, ["leaf", "line"]).filter(F.coalesce(F.col("doc_id") != F.col("first"), F.lit(True)))
     dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("at").alias("__places"))  # of one document
     dropped = dropped.select(F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row"), "__places")
