@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import Column, functions as F
 
 
@@ -14,12 +16,18 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def literal(text: str) -> str:
+    """A pattern that matches exactly this text."""
+    return re.sub(r"([^\w\s])", r"\\\1", text)
+
+
 def halves(text: Column, separator: str) -> tuple[Column, Column]:
     """The text before and after the first separator; the second is null without one."""
-    parts = F.split(text, separator, 2)
+    parts = F.split(text, literal(separator), 2)
     return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
 
 
 def replace_junk(text: Column, markers: list[str], name: str) -> Column:
     """Text with everything from the first marker to the line end replaced by a name."""
-    return F.regexp_replace(text, f"(?:{'|'.join(markers)}).*", name)
+    plain_name = re.sub(r"([\\$])", r"\\\1", name)
+    return F.regexp_replace(text, f"(?:{'|'.join(map(literal, markers))}).*", plain_name)

@@ -38,7 +38,7 @@ def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(nation == 7, text(city, " ", state))
         .when(nation == 8, text("PORT, ", city, ", ", state))
         .when(nation == 10, text(city, ",", state))
-        .when(nation == 11, text(city.substr(1, 2), "''", city.substr(3, 99), ", ", state))
+        .when(nation == 11, text(city.substr(1, 2), "''", F.substr(city, F.lit(3)), ", ", state))
         .otherwise(text(city, ", ", state, "      "))
     )
     line = text("   '", F.col("c_custkey").cast("string"), "'\t=\t'", place, "'  ")

@@ -101,3 +101,11 @@ def test_replace_junk(spark, text, expected):
 def test_whole(spark):
     assert value(spark, whole("x"), "x double", 582.0) == 582
     assert value(spark, whole("x"), "x double", NAN) is None
+
+
+def test_markers_separators_and_names_are_plain_text(spark):
+    from landfall.functions.text import halves, replace_junk
+
+    df = spark.createDataFrame([("x A (y) z", "a.b.c"), ("x A y z", "abc")], "t string, s string")
+    rows = df.select(replace_junk(df.t, ["A (y)"], r"$1 \\ n").alias("t"), *halves(df.s, ".")).collect()
+    assert [tuple(r) for r in rows] == [(r"x $1 \\ n", "a", "b.c"), ("x A y z", "abc", None)]
