@@ -58,7 +58,7 @@ for _i, _c in enumerate(LETTERS, 1):
 _CODE = {c: i for i, c in enumerate(LETTERS, 1)}
 _EDGES = re.compile(r"^[^\w@$!|+(€£¡*]+|[^\w]+$")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_APART = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_APART = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}[.,;:!?]*(?!\S)")
 
 
 def trigram_counts(texts_: list[str]) -> np.ndarray:
