@@ -10,6 +10,10 @@ DIM_PORTS = "dim_us_ports"
 DIM_DATE = "dim_date"
 FACT_VISITS = "fact_i94_visits"
 
+# Tables about what the dimensions and the fact leave out.
+REJECTED_PORTS = "rejected_us_ports"
+PORT_COVERAGE = "port_coverage"
+
 # Columns of the visits fact, in order.
 VISIT_COLUMNS = [
     "cicid", "arrdate", "depdate", "stay", "i94port",

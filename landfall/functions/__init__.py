@@ -3,6 +3,7 @@
 from landfall.functions.dates import (
     date_from_parts,
     outside_period,
+    period_serials,
     sas_date,
     serial_in_period,
     stay_days,
@@ -11,6 +12,6 @@ from landfall.functions.numbers import number, whole
 from landfall.functions.text import halves, replace_junk, strip
 
 __all__ = [
-    "date_from_parts", "halves", "number", "outside_period", "replace_junk",
-    "sas_date", "serial_in_period", "stay_days", "strip", "whole",
+    "date_from_parts", "halves", "number", "outside_period", "period_serials",
+    "replace_junk", "sas_date", "serial_in_period", "stay_days", "strip", "whole",
 ]

@@ -30,9 +30,14 @@ def outside_period(column: str, year: int, month: int) -> Column:
     return (F.year(column) != year) | (F.month(column) != month)
 
 
-def serial_in_period(serial: str, year: int, month: int) -> Column:
-    """True for a serial in the month. A plain range, so it prunes partitions and row groups."""
+def period_serials(year: int, month: int) -> tuple[float, float]:
+    """The serial of a month's first day, and that of the day after its last."""
     epoch = date.fromisoformat(SERIAL_EPOCH)
     first = (date(year, month, 1) - epoch).days
-    after = (date(year + month // 12, month % 12 + 1, 1) - epoch).days
-    return (F.col(serial) >= float(first)) & (F.col(serial) < float(after))
+    return float(first), float((date(year + month // 12, month % 12 + 1, 1) - epoch).days)
+
+
+def serial_in_period(serial: str, year: int, month: int) -> Column:
+    """True for a serial in the month. A plain range, so it prunes partitions and row groups."""
+    first, after = period_serials(year, month)
+    return (F.col(serial) >= first) & (F.col(serial) < after)

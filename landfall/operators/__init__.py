@@ -4,10 +4,12 @@ from landfall.operators.dimensions import (
     code_list,
     date_dim,
     known_ports,
+    malformed_lines,
     port_places,
     port_rejects,
     ports_dim,
     state_names,
+    well_formed_port,
 )
 from landfall.operators.rankings import visits_by
 from landfall.operators.staging import (
@@ -23,7 +25,7 @@ from landfall.operators.visits import build_visits, port_coverage
 
 __all__ = [
     "build_visits", "code_list", "date_dim", "distinct_where_repeated", "keep_arrivals",
-    "keep_listed", "keep_present", "known_ports", "port_coverage", "port_places",
-    "port_rejects", "ports_dim", "repeated_values", "stage_arrivals", "stage_temperatures",
-    "state_names", "visits_by",
+    "keep_listed", "keep_present", "known_ports", "malformed_lines", "port_coverage",
+    "port_places", "port_rejects", "ports_dim", "repeated_values", "stage_arrivals",
+    "stage_temperatures", "state_names", "visits_by", "well_formed_port",
 ]

@@ -1,4 +1,4 @@
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from landfall.fixed import JUNK_PORTS, OTHER_PORTS
 from landfall.functions import halves, replace_junk, strip
@@ -20,7 +20,7 @@ def known_ports(lines: DataFrame) -> DataFrame:
 
     The code is the first quoted text, so a doubled quote in the place does no harm.
     """
-    parsed = lines.filter(F.col("value").rlike(PORT_LINE)).select(
+    parsed = lines.filter(well_formed_port()).select(
         F.regexp_extract("value", PORT_LINE, 1).alias("code"),
         F.regexp_extract("value", PORT_LINE, 2).alias("place"),
     )
@@ -29,6 +29,16 @@ def known_ports(lines: DataFrame) -> DataFrame:
     return parsed
 
 
+def well_formed_port(line: str = "value") -> Column:
+    """True for a line that ``known_ports`` can read."""
+    return F.col(line).rlike(PORT_LINE)
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """The port lines that ``known_ports`` cannot read, whose arrivals would be left out."""
+    return lines.filter(~well_formed_port())
+
+
 def port_places(lines: DataFrame, state_parse: str = "exact") -> DataFrame:
     """Every port line as (code, city, state).
 

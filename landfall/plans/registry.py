@@ -145,13 +145,11 @@ def landed_lines(spark: SparkSession, lines: DataFrame, name: str, end: str = "\
 
 
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = ports_dim(mapped.port_lines(spark, sf_dir), mapped.state_lines(spark, sf_dir))
-    return landed(spark, dim, fixed.DIM_PORTS)
+    return ports_dim(mapped.port_lines(spark, sf_dir), mapped.state_lines(spark, sf_dir))
 
 
 def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = stage_temperatures(mapped.order_temperatures(spark, sf_dir), "F")
-    return landed(spark, staged, fixed.STAGE_TEMPERATURES)
+    return stage_temperatures(mapped.order_temperatures(spark, sf_dir), "F")
 
 
 def visits(spark: SparkSession, sf_dir: str, places: DataFrame) -> DataFrame:
@@ -355,6 +353,24 @@ def date_from_parts_rule(spark, sf_dir):
     return orders.select("o_orderkey", date_from_parts("year", "month", "day").alias("day"))
 
 
+@query("""
+  SELECT o_orderkey,
+         CASE WHEN day(o_orderdate) <= day(last_day(make_date(year(o_orderdate), 2, 1)))
+              THEN make_date(year(o_orderdate), 2, day(o_orderdate)) END AS day
+  FROM orders
+""")
+def date_from_parts_lenient(spark, sf_dir):
+    """Order days moved to February, which lacks some of them."""
+    orders = mapped.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.year("o_orderdate").alias("year"),
+        F.lit(2).alias("month"),
+        F.dayofmonth("o_orderdate").alias("day"),
+    )
+    day = date_from_parts("year", "month", "day", lenient=True)
+    return orders.select("o_orderkey", day.alias("day"))
+
+
 @query(
     """
   SELECT l_orderkey, l_linenumber,
@@ -537,6 +553,26 @@ def dq_row_count(spark, sf_dir):
     )
 
 
+DAY_KEY = ["year", "month", "day", "city", "state"]
+DAY_COPIES = f"count(*) - count(DISTINCT ({', '.join(DAY_KEY)}))"
+
+
+@query(
+    " UNION ALL ".join(
+        checked("unique_key", name, ",".join(DAY_KEY), f"{DAY_COPIES} = 0", DAY_COPIES,
+                f"({TEMPERATURES}) WHERE country IN {countries}")
+        for name, countries in [("one_country", "('F')"), ("two_countries", "('F', 'O')")]
+    )
+)
+def dq_unique_temperatures(spark, sf_dir):
+    """City-days of one country are unique; those of two together are not."""
+    raw = mapped.order_temperatures(spark, sf_dir)
+    one, other = stage_temperatures(raw, "F"), stage_temperatures(raw, "O")
+    return report(one, "one_country", key=DAY_KEY).unionAll(
+        report(one.unionAll(other), "two_countries", key=DAY_KEY)
+    )
+
+
 FACT_OUTSIDE = "count(*) FILTER (year(arrdate) <> 1998 OR month(arrdate) <> 7)"
 
 
@@ -592,6 +628,38 @@ EVENT_RANKED = f"""
 """
 
 
+def landing(
+    spark: SparkSession,
+    sf_dir: str,
+    arrivals: DataFrame | None = None,
+    temperatures: DataFrame | None = None,
+    ports: DataFrame | None = None,
+    **how: str,
+) -> warehouse.Inputs:
+    """The mapped tables as landed files, or others in their place."""
+    folder = shared_folder(spark, "landing")
+    arrivals = mapped.event_arrivals(spark, sf_dir) if arrivals is None else arrivals
+    raw = mapped.event_temperatures(spark, sf_dir) if temperatures is None else temperatures
+    ports = mapped.port_lines(spark, sf_dir) if ports is None else ports
+    writer = arrivals.write.format(how.get("arrivals_format", "parquet")).option("header", True)
+    writer.save(f"{folder}/arrivals")
+    raw.write.option("header", True).csv(f"{folder}/temperatures")
+    mapped.code_lines(spark, sf_dir).write.option("lineSep", "\r\n").text(f"{folder}/codes")
+    mapped.state_lines(spark, sf_dir).write.text(f"{folder}/states")
+    ports.write.text(f"{folder}/ports")
+    codes = f"{folder}/codes"
+    return warehouse.Inputs(
+        arrivals=f"{folder}/arrivals",
+        temperatures=f"{folder}/temperatures",
+        countries=codes,
+        travel_modes=codes,
+        visas=codes,
+        states=f"{folder}/states",
+        ports=f"{folder}/ports",
+        **how,
+    )
+
+
 def counted(table: str, rows: str) -> str:
     return f"""
   SELECT 'rows' AS item, '{table}' AS label, count(*) AS n, CAST(NULL AS DOUBLE) AS mean
@@ -623,23 +691,7 @@ def counted(table: str, rows: str) -> str:
 )
 def warehouse_run(spark, sf_dir):
     """The whole job over landed files: the rows of every table, and the three rankings."""
-    landing, output = shared_folder(spark, "landing"), shared_folder(spark, "warehouse")
-    mapped.event_arrivals(spark, sf_dir).write.parquet(f"{landing}/arrivals")
-    raw = mapped.event_temperatures(spark, sf_dir)
-    raw.write.option("header", True).csv(f"{landing}/temperatures")
-    mapped.code_lines(spark, sf_dir).write.option("lineSep", "\r\n").text(f"{landing}/codes")
-    mapped.state_lines(spark, sf_dir).write.text(f"{landing}/states")
-    mapped.port_lines(spark, sf_dir).write.text(f"{landing}/ports")
-    codes = f"{landing}/codes"
-    inputs = warehouse.Inputs(
-        arrivals=f"{landing}/arrivals",
-        temperatures=f"{landing}/temperatures",
-        countries=codes,
-        travel_modes=codes,
-        visas=codes,
-        states=f"{landing}/states",
-        ports=f"{landing}/ports",
-    )
+    inputs, output = landing(spark, sf_dir), shared_folder(spark, "warehouse")
     done = warehouse.run(spark, inputs, output, 2024, 1, country="view", state="12")
 
     def rows(name: str) -> DataFrame:
@@ -669,3 +721,114 @@ def warehouse_run(spark, sf_dir):
         ranking("top_cities", done.top_cities, "city"),
     ]
     return reduce(DataFrame.unionAll, parts)
+
+
+EVENT_COVERAGE = f"""
+  SELECT i94port, count(*) AS staged, count(code) AS with_port, count(day) AS with_temperature
+  FROM ({EVENT_STAGE}) s LEFT JOIN ({PORTS}) p ON i94port = code
+  LEFT JOIN ({EVENT_TEMPERATURES}) t ON day = arrdate AND t.city = p.city AND t.state = state_name
+  GROUP BY i94port
+"""
+
+
+@query(f"""
+  SELECT 'coverage' AS item, i94port AS code, staged, with_port, with_temperature
+  FROM ({EVENT_COVERAGE})
+  UNION ALL
+  SELECT 'rejected', CAST(c_custkey AS VARCHAR), NULL, NULL, NULL
+  FROM customer WHERE c_nationkey BETWEEN 3 AND 9
+""")
+def warehouse_rejects(spark, sf_dir):
+    """The tables of a run about what it leaves out: rejected ports, and arrivals by port."""
+    output = shared_folder(spark, "warehouse")
+    warehouse.run(spark, landing(spark, sf_dir), output, 2024, 1, country="view", state="12")
+    counts = ["staged", "with_port", "with_temperature"]
+    coverage = read_table(spark, output, fixed.PORT_COVERAGE)
+    rejected = read_table(spark, output, fixed.REJECTED_PORTS)
+    none = [F.lit(None).cast("long").alias(c) for c in counts]
+    return coverage.select(F.lit("coverage").alias("item"), F.col("i94port").alias("code"), *counts).unionAll(
+        rejected.select(F.lit("rejected").alias("item"), "code", *none)
+    )
+
+
+EVENT_DAYS = """
+  SELECT event_type, CAST(ts AS DATE) AS day, c_mktsegment, n_name
+  FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+  GROUP BY ALL
+"""
+GOOD_VISITS = f"({EVENT_VISITS}) WHERE user_id % 50 NOT IN (7, 8, 9) AND day(arrdate) NOT IN (5, 6)"
+GOOD_DAYS = f"({EVENT_DAYS}) WHERE event_type = 'view' AND day(day) NOT IN (5, 6)"
+PORT_LINES = "(SELECT false AS bad FROM customer UNION ALL SELECT true FROM nation)"
+
+
+def counted_bad(name: str, table: str, column: str, bad: str, rows: str) -> str:
+    found = f"count(*) FILTER ({bad})"
+    return checked(name, table, column, f"{found} = 0", found, rows)
+
+
+@query(
+    " UNION ALL ".join([
+        counted_bad("in_period", "arrivals", "arrdate", "user_id % 50 = 9", "events"),
+        counted_bad("date_present", "arrivals", "arrdate", "user_id % 50 = 8", "events"),
+        counted_bad("well_formed", "arrivals", "_corrupt_record", "user_id % 50 = 7", "events"),
+        counted_bad("well_formed", "temperatures", "_corrupt_record", "day(day) = 5",
+                    f"({EVENT_DAYS})"),
+        counted_bad("possible_date", "temperatures", "year,month,day",
+                    "day(day) = 6 AND event_type = 'view'", f"({EVENT_DAYS})"),
+        counted_bad("well_formed", "ports", "value", "bad", PORT_LINES),
+        counted_bad("unique_key", fixed.STAGE_TEMPERATURES, ",".join(DAY_KEY), "false", GOOD_DAYS),
+        checked("has_rows", fixed.DIM_PORTS, "", "count(*) >= 1", "0::BIGINT", f"({PORTS})"),
+        counted_bad("unique_key", fixed.DIM_PORTS, "code", "false", f"({PORTS})"),
+        counted_bad("column_exists", fixed.FACT_VISITS, "cicid", "false", GOOD_VISITS),
+        counted_bad("column_type", fixed.FACT_VISITS, "cicid", "false", GOOD_VISITS),
+        counted_bad("in_period", fixed.FACT_VISITS, "arrdate", "false", GOOD_VISITS),
+        counted_bad("date_present", fixed.FACT_VISITS, "arrdate", "false", GOOD_VISITS),
+        checked("has_rows", fixed.FACT_VISITS, "", "count(*) >= 1", "0::BIGINT", GOOD_VISITS),
+        counted_bad("unique_key", fixed.FACT_VISITS, "cicid", "false", GOOD_VISITS),
+    ])
+)
+def warehouse_checks(spark, sf_dir):
+    """All checks of a run over CSV files into which bad rows of every kind are mixed."""
+    kind = F.pmod(F.col("i94port").cast("int"), F.lit(50))
+    arrivals = mapped.event_arrivals(spark, sf_dir)
+    arrivals = arrivals.withColumns({
+        "arrdate": F.when(kind == 9, F.col("arrdate") + 40).when(kind != 8, F.col("arrdate")),
+        "depdate": F.concat(F.when(kind == 7, "x").otherwise(""), F.col("depdate").cast("string")),
+    })
+    days = mapped.event_temperatures(spark, sf_dir)
+    value = F.when(F.col("Day") == 5, "n/a").otherwise(F.col("AvgTemperature").cast("string"))
+    moved = F.col("Day") == 6
+    days = days.withColumns({
+        "AvgTemperature": value,
+        "Month": F.when(moved, 2).otherwise(F.col("Month")),
+        "Day": F.when(moved, 30).otherwise(F.col("Day")),
+    })
+    bad = mapped.table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+    ports = mapped.port_lines(spark, sf_dir).unionAll(bad)
+    inputs = landing(spark, sf_dir, arrivals, days, ports, arrivals_format="csv")
+    allowed = warehouse.ALLOWED | {("well_formed", t) for t in ("arrivals", "temperatures", "ports")}
+    done = warehouse.run(
+        spark, inputs, shared_folder(spark, "warehouse"), 2024, 1, country="view", state="12",
+        lenient_dates=True, allowed=allowed,
+    )
+    types = ("check_name string, table_name string, column_name string, passed boolean, "
+             "rows_checked long, violations long")
+    return spark.createDataFrame([tuple(row) for row in done.checks], types)
+
+
+@query(f"""
+  SELECT arrdate, count(*) AS n, CAST(sum(cicid) AS BIGINT) AS ids
+  FROM ({EVENT_VISITS}) WHERE day(arrdate) <> 3 GROUP BY arrdate
+""")
+def monthly_reload(spark, sf_dir):
+    """A month loaded whole and then again without one of its days, which is gone afterwards."""
+    output = shared_folder(spark, "warehouse")
+    arrivals = mapped.event_arrivals(spark, sf_dir)
+    less = arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3)
+    for rows in (arrivals, less):
+        inputs = landing(spark, sf_dir, rows)
+        warehouse.run(spark, inputs, output, 2024, 1, country="view", state="12", only_dates=True)
+    fact = read_table(spark, output, fixed.FACT_VISITS)
+    return fact.groupBy("arrdate").agg(
+        F.count("*").alias("n"), F.sum("cicid").cast("long").alias("ids")
+    )

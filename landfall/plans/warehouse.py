@@ -1,11 +1,13 @@
 """The batch job: stage, dimensions, fact, checks and rankings."""
 
+from collections.abc import Collection
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from landfall import fixed
-from landfall.functions import serial_in_period
+from landfall.functions import period_serials, serial_in_period
 from landfall.operators import (
     build_visits,
     code_list,
@@ -13,33 +15,55 @@ from landfall.operators import (
     distinct_where_repeated,
     keep_arrivals,
     known_ports,
+    port_coverage,
+    port_rejects,
     ports_dim,
     repeated_values,
     stage_temperatures,
     visits_by,
+    well_formed_port,
 )
 from landfall.operators.quality import (
+    Check,
     column_exists,
     column_type,
     date_present,
     has_rows,
     in_period,
+    possible_date,
     raise_on_failure,
     report,
+    well_formed,
 )
 from landfall.sources import (
+    empty_keys,
     read_arrivals,
     read_lines,
-    read_table,
     read_temperatures,
     shared_folder,
     write_by_date,
     write_table,
+    written_keys,
 )
+from landfall.sources.readers import MALFORMED
 
 # Up to this many rows (some tens of MB in memory) a table is broadcast to every executor.
 BROADCAST_ROWS = 500_000
 
+# Where the visits of a month stand until they are checked.
+UNCHECKED = f"{fixed.FACT_VISITS}_unchecked"
+
+# Names that the checks of input files go by.
+ARRIVALS, TEMPERATURES, PORTS = "arrivals", "temperatures", "ports"
+
+# Failed checks that are reported and do not stop a run, as (check, table): arrivals of other months or
+# without a date have no place in the month's fact, and a month may have no visits.
+ALLOWED = frozenset({
+    ("in_period", ARRIVALS),
+    ("date_present", ARRIVALS),
+    ("has_rows", fixed.FACT_VISITS),
+})
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -53,6 +77,7 @@ class Inputs:
     states: str
     ports: str
     arrivals_format: str = "parquet"
+    csv_mode: str = "PERMISSIVE"
 
 
 @dataclass(frozen=True)
@@ -72,9 +97,7 @@ def distinct_arrivals(spark: SparkSession, kept: DataFrame) -> DataFrame:
     repeated values to the shared folder. Only rows with one of these are compared as a whole.
     If the values are too many to broadcast, all rows are.
     """
-    root = shared_folder(spark, "repeated")
-    write_table(repeated_values(kept, "cicid"), root, "cicid")
-    repeated = read_table(spark, root, "cicid")
+    repeated = write_table(repeated_values(kept, "cicid"), shared_folder(spark, "repeated"), "cicid")
     number = repeated.count()
     if number == 0:
         return kept
@@ -83,6 +106,50 @@ def distinct_arrivals(spark: SparkSession, kept: DataFrame) -> DataFrame:
     return distinct_where_repeated(kept, "cicid", F.broadcast(repeated))
 
 
+def _readable(rows: DataFrame) -> Check:
+    """The check that every CSV row fits its types. Spark parses only fields that are asked for, so
+    the condition asks for all."""
+    fields = F.concat_ws("", *[F.col(c).cast("string") for c in rows.columns if c != MALFORMED])
+    return well_formed(MALFORMED, F.col(MALFORMED).isNotNull() & (F.length(fields) >= 0))
+
+
+def check_inputs(
+    spark: SparkSession, inputs: Inputs, year: int, month: int, country: str = "US"
+) -> DataFrame:
+    """The checks of the input files, as rows; one pass over each file.
+
+    They count what later steps would leave out: CSV rows that do not fit their types, port
+    lines that cannot be read, arrivals of other months or without a date, and temperatures of the country
+    whose parts are no date.
+    """
+    csv = inputs.arrivals_format == "csv"
+    arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode, csv)
+    whole = ~F.isnan("arrdate") & (F.col("arrdate") != 0)
+    on_arrivals = [
+        Check("in_period", "arrdate", whole & ~serial_in_period("arrdate", year, month)),
+        Check("date_present", "arrdate", ~F.coalesce(whole, F.lit(False))),
+    ]
+    if csv:
+        on_arrivals.append(_readable(arrivals))
+    daily = read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True)
+    dates = possible_date("year", "month", "day")
+    of_country = Check(dates.name, dates.column, (F.col("country") == country) & dates.violates)
+    on_daily = [_readable(daily), of_country]
+    lines = read_lines(spark, inputs.ports)
+    return (
+        report(arrivals, ARRIVALS, on_arrivals)
+        .unionAll(report(daily, TEMPERATURES, on_daily))
+        .unionAll(report(lines, PORTS, [well_formed("value", ~well_formed_port())]))
+    )
+
+
+def _sound(rows: DataFrame) -> DataFrame:
+    """The rows of a text source that could be read; ``check_inputs`` counts the others."""
+    if MALFORMED not in rows.columns:
+        return rows
+    return rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
 def stage(
     spark: SparkSession,
     inputs: Inputs,
@@ -91,26 +158,32 @@ def stage(
     month: int,
     country: str = "US",
     only_dates: bool = False,
-) -> None:
-    """Write both staging tables.
+) -> tuple[DataFrame, DataFrame]:
+    """Write both staging tables and return them, arrivals and temperatures.
 
-    With ``only_dates``, arrivals outside the month are left out: a few stray rows would
-    otherwise replace all that another month has brought for their date.
+    With ``only_dates``, the month is replaced and other months are left alone: arrivals
+    outside the month are left out, and dates of the month that it no longer has are emptied.
     """
-    arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format)
+    csv = inputs.arrivals_format == "csv"
+    arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode, csv)
+    arrivals = _sound(arrivals)
     if only_dates:
         arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
     kept = keep_arrivals(arrivals, known_ports(read_lines(spark, inputs.ports)))
-    columnar = inputs.arrivals_format != "csv"
-    staged = distinct_arrivals(spark, kept) if columnar else kept.distinct()
-    write_by_date(staged, output, fixed.STAGE_ARRIVALS, only_dates=only_dates)
-    temperatures = read_temperatures(spark, inputs.temperatures)
-    daily = stage_temperatures(temperatures, country, year, month)
-    write_table(daily, output, fixed.STAGE_TEMPERATURES)
+    staged = kept.distinct() if csv else distinct_arrivals(spark, kept)
+    if only_dates:
+        at = (spark, output, fixed.STAGE_ARRIVALS, staged.schema)
+        empty_keys(*at, written_keys(*at, *period_serials(year, month)))
+    staged = write_by_date(staged, output, fixed.STAGE_ARRIVALS, only_dates=only_dates)
+    raw = _sound(read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True))
+    daily = stage_temperatures(raw, country, year, month)
+    return staged, write_table(daily, output, fixed.STAGE_TEMPERATURES)
 
 
-def dimensions(spark: SparkSession, inputs: Inputs, output: str) -> None:
-    """Write the four dimensions that come from lookup files."""
+def dimensions(
+    spark: SparkSession, inputs: Inputs, output: str, state_parse: str = "exact"
+) -> DataFrame:
+    """Write the four dimensions that come from lookup files, and the ports left out. Returns the ports."""
     countries = code_list(
         read_lines(spark, inputs.countries), fixed.JUNK_COUNTRIES, fixed.OTHER_COUNTRIES
     )
@@ -119,43 +192,81 @@ def dimensions(spark: SparkSession, inputs: Inputs, output: str) -> None:
     write_table(modes, output, fixed.DIM_TRAVEL_MODES)
     visas = code_list(read_lines(spark, inputs.visas))
     write_table(visas, output, fixed.DIM_VISAS)
-    ports = ports_dim(read_lines(spark, inputs.ports), read_lines(spark, inputs.states))
-    write_table(ports, output, fixed.DIM_PORTS)
+    lines, states = read_lines(spark, inputs.ports), read_lines(spark, inputs.states)
+    write_table(port_rejects(lines, states, state_parse), output, fixed.REJECTED_PORTS)
+    return write_table(ports_dim(lines, states, state_parse), output, fixed.DIM_PORTS)
+
+
+def check_before_joins(temperatures: DataFrame, ports: DataFrame) -> DataFrame:
+    """The checks that the tables joined to arrivals match each at most once, as rows."""
+    day = ["year", "month", "day", "city", "state"]
+    return report(temperatures, fixed.STAGE_TEMPERATURES, key=day).unionAll(
+        report(ports, fixed.DIM_PORTS, [has_rows()], key=["code"])
+    )
+
+
+def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The table with a hint, if a count, which Parquet answers from its footers, allows it."""
+    automatic = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    small = not automatic.startswith("-") and df.count() <= BROADCAST_ROWS
+    return (F.broadcast(df) if small else df), small
 
 
 def fact(
-    spark: SparkSession, output: str, year: int, month: int, only_dates: bool = False
-) -> None:
-    """Write the visits fact from the written tables, then the date dimension from the fact.
+    output: str,
+    arrivals: DataFrame,
+    ports: DataFrame,
+    temperatures: DataFrame,
+    year: int,
+    month: int,
+    lenient_dates: bool = False,
+) -> DataFrame:
+    """Write the month's visits beside the fact, to be checked there, and return them.
 
     The temperatures hold one month only, so other arrival dates could not join and are not
-    read. Ports and temperatures are broadcast if a count of their rows, which Parquet answers
-    from its footers, allows it. Then no row of the arrivals is shuffled, each task goes on
-    holding few dates, and the fact needs no gathering either.
+    read. Ports and temperatures are broadcast, each by its own size, if that is small. If both
+    are, no row of the arrivals is shuffled, each task goes on holding few dates, and the
+    visits need no gathering either.
     """
-    arrivals = read_table(spark, output, fixed.STAGE_ARRIVALS)
     arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
-    ports = read_table(spark, output, fixed.DIM_PORTS)
-    temperatures = read_table(spark, output, fixed.STAGE_TEMPERATURES)
-    small = max(ports.count(), temperatures.count()) <= BROADCAST_ROWS
-    if small:
-        ports, temperatures = F.broadcast(ports), F.broadcast(temperatures)
-    visits = build_visits(arrivals, ports, temperatures)
-    write_by_date(visits, output, fixed.FACT_VISITS, gather=not small, only_dates=only_dates)
-    dates = date_dim(read_table(spark, output, fixed.FACT_VISITS))
-    write_table(dates, output, fixed.DIM_DATE)
-
-
-def check(spark: SparkSession, output: str, period: tuple[int, int] | None) -> DataFrame:
-    """The checks of the batch, as rows; those on dates only where a (year, month) is given."""
-    visits = read_table(spark, output, fixed.FACT_VISITS)
-    on_visits = [column_exists(visits, "cicid"), column_type(visits, "cicid", "double")]
-    if period is not None:
-        on_visits += [in_period("arrdate", *period), date_present("arrdate")]
-    ports = read_table(spark, output, fixed.DIM_PORTS)
-    return report(visits, fixed.FACT_VISITS, on_visits, key=["cicid"]).unionAll(
-        report(ports, fixed.DIM_PORTS, [has_rows()])
-    )
+    ports, few_ports = _broadcast_if_small(ports)
+    temperatures, few_days = _broadcast_if_small(temperatures)
+    coverage = port_coverage(arrivals, ports, temperatures, lenient_dates)
+    write_table(coverage, output, fixed.PORT_COVERAGE)
+    visits = build_visits(arrivals, ports, temperatures, lenient_dates)
+    return write_by_date(visits, output, UNCHECKED, gather=not (few_ports and few_days))
+
+
+def check(visits: DataFrame, year: int, month: int) -> DataFrame:
+    """The checks of the month's visits, as rows."""
+    checks = [
+        column_exists(visits, "cicid"),
+        column_type(visits, "cicid", "double"),
+        in_period("arrdate", year, month),
+        date_present("arrdate"),
+        has_rows(),
+    ]
+    return report(visits, fixed.FACT_VISITS, checks, key=["cicid"])
+
+
+def publish(output: str, visits: DataFrame, year: int, month: int, only_dates: bool = False) -> DataFrame:
+    """Put checked visits into the fact, renew the date dimension and return the fact.
+
+    The visits already lie by date, so they are written as read. With ``only_dates``, dates of the month
+    that it no longer has are emptied. What stood beside the fact is emptied as well.
+    """
+    spark, schema = visits.sparkSession, visits.schema
+    if only_dates:
+        first, after = date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
+        old = written_keys(spark, output, fixed.FACT_VISITS, schema, first, after)
+        new = written_keys(spark, output, UNCHECKED, schema, first, after)
+    done = write_by_date(visits, output, fixed.FACT_VISITS, gather=False, only_dates=only_dates)
+    if only_dates:
+        empty_keys(spark, output, fixed.FACT_VISITS, schema, sorted(set(old) - set(new)))
+        done = spark.read.schema(schema).parquet(f"{output}/{fixed.FACT_VISITS}")
+    write_table(date_dim(done), output, fixed.DIM_DATE)
+    write_table(spark.createDataFrame([], schema), output, UNCHECKED)
+    return done
 
 
 def run(
@@ -167,18 +278,29 @@ def run(
     country: str = "US",
     state: str = "CA",
     only_dates: bool = False,
+    lenient_dates: bool = False,
+    state_parse: str = "exact",
+    allowed: Collection[tuple[str, str]] = ALLOWED,
 ) -> Outcome:
     """Build the warehouse of a month under ``output``, check it and rank its visits.
 
-    A failed check raises ValueError before the rankings. ``only_dates`` adds the month to a
-    warehouse that holds others.
+    A failed check raises ValueError unless ``allowed`` names it: those of the inputs before
+    anything is written, those of the joined tables before the join, those of the visits
+    before they are published. Rows that the job leaves out are all counted, by a check or in the tables
+    ``rejected_us_ports`` and ``port_coverage``.
+
+    ``only_dates`` replaces the month in a warehouse that holds others. ``lenient_dates`` leaves
+    out temperatures whose parts are no date, and counts them. ``state_parse`` is that of ``ports_dim``.
     """
-    stage(spark, inputs, output, year, month, country, only_dates)
-    dimensions(spark, inputs, output)
-    fact(spark, output, year, month, only_dates)
-    checks = raise_on_failure(check(spark, output, None if only_dates else (year, month)))
-    visits = read_table(spark, output, fixed.FACT_VISITS)
-    ports = read_table(spark, output, fixed.DIM_PORTS)
+    skipped = {("possible_date", TEMPERATURES)} if lenient_dates else set()
+    allowed = set(allowed) | skipped
+    checks = raise_on_failure(check_inputs(spark, inputs, year, month, country), allowed)
+    arrivals, temperatures = stage(spark, inputs, output, year, month, country, only_dates)
+    ports = dimensions(spark, inputs, output, state_parse)
+    checks += raise_on_failure(check_before_joins(temperatures, ports), allowed)
+    visits = fact(output, arrivals, ports, temperatures, year, month, lenient_dates)
+    checks += raise_on_failure(check(visits, year, month), allowed)
+    visits = publish(output, visits, year, month, only_dates)
     return Outcome(
         checks=checks,
         top_states=visits_by(visits, ports, "state_name", "count", 10),

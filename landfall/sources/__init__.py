@@ -8,9 +8,9 @@ from landfall.sources.readers import (
     read_temperatures,
 )
 from landfall.sources.shared import shared_folder
-from landfall.sources.writers import write_by_date, write_table
+from landfall.sources.writers import empty_keys, write_by_date, write_table, written_keys
 
 __all__ = [
-    "read_arrivals", "read_delimited", "read_lines", "read_table", "read_temperatures",
-    "shared_folder", "write_by_date", "write_table",
+    "empty_keys", "read_arrivals", "read_delimited", "read_lines", "read_table",
+    "read_temperatures", "shared_folder", "write_by_date", "write_table", "written_keys",
 ]

@@ -1,9 +1,12 @@
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
 
 
-def write_table(df: DataFrame, root: str, name: str) -> None:
-    """Replace a table of the warehouse."""
+def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Replace a table of the warehouse. Returns it as written, read without inference."""
     df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
 
 
 def write_by_date(
@@ -13,8 +16,8 @@ def write_by_date(
     key: str = "arrdate",
     gather: bool = True,
     only_dates: bool = False,
-) -> None:
-    """Replace a table partitioned by date.
+) -> DataFrame:
+    """Replace a table partitioned by date. Returns it as written, read without inference.
 
     ``gather`` brings the rows of a date together first, else every task leaves a small file
     for every date it meets. It is a rebalance, not a plain repartition: adaptive execution
@@ -27,3 +30,31 @@ def write_by_date(
     overwrite = "dynamic" if only_dates else "static"
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
     writer.partitionBy(key).parquet(f"{root}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
+
+
+def written_keys(
+    spark: SparkSession, root: str, name: str, schema: StructType, first, after, key: str = "arrdate"
+) -> list:
+    """The partition keys from ``first`` to before ``after`` that hold rows; none without such a table.
+
+    They come from the partitions of a month at most, so the list is short.
+    """
+    try:
+        found = spark.read.schema(schema).parquet(f"{root}/{name}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    found = found.filter((F.col(key) >= first) & (F.col(key) < after))
+    return [row[0] for row in found.select(key).distinct().collect()]
+
+
+def empty_keys(
+    spark: SparkSession, root: str, name: str, schema: StructType, keys: list, key: str = "arrdate"
+) -> None:
+    """Take all rows out of some partitions of a table."""
+    rest = StructType([f for f in schema if f.name != key])
+    for value in keys:
+        empty = spark.createDataFrame([], rest).coalesce(1)
+        empty.write.mode("overwrite").parquet(f"{root}/{name}/{key}={value}")

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from fixtures import TEMPERATURES, land, rows
+from fixtures import ARRIVALS, TEMPERATURES, land, rows
 from landfall import fixed
 from landfall.plans import warehouse
 from landfall.sources import read_table
@@ -32,12 +32,20 @@ def test_run_twice(spark, tmp_path, monkeypatch, broadcast_rows):
         done = warehouse.run(spark, inputs, output, 2016, 4, state="ST")
         assert counts(spark, output) == ROWS
     assert [tuple(r)[:4] for r in done.checks] == [
+        ("in_period", "arrivals", "arrdate", False),
+        ("date_present", "arrivals", "arrdate", False),
+        ("well_formed", "temperatures", "_corrupt_record", True),
+        ("possible_date", "temperatures", "year,month,day", True),
+        ("well_formed", "ports", "value", True),
+        ("unique_key", fixed.STAGE_TEMPERATURES, "year,month,day,city,state", True),
+        ("has_rows", fixed.DIM_PORTS, "", True),
+        ("unique_key", fixed.DIM_PORTS, "code", True),
         ("column_exists", fixed.FACT_VISITS, "cicid", True),
         ("column_type", fixed.FACT_VISITS, "cicid", True),
         ("in_period", fixed.FACT_VISITS, "arrdate", True),
         ("date_present", fixed.FACT_VISITS, "arrdate", True),
+        ("has_rows", fixed.FACT_VISITS, "", True),
         ("unique_key", fixed.FACT_VISITS, "cicid", True),
-        ("has_rows", fixed.DIM_PORTS, "", True),
     ]
     assert [tuple(r) for r in done.top_states.collect()] == [
         ("STATE OF T", 43.92, 3), ("ALABAMA", 70.5, 1),
@@ -90,10 +98,104 @@ def test_csv_arrivals(spark, tmp_path):
 def test_failed_check_stops_the_job(spark, tmp_path):
     doubled = TEMPERATURES + "North,US,State of T,City,4,1,2016,1.0\n"
     inputs = land(spark, tmp_path / "in", temperatures=doubled)
+    found = r"unique_key on stage_city_temperatures\(year,month,day,city,state\): 1 violations"
+    with pytest.raises(ValueError, match=found):
+        warehouse.run(spark, inputs, str(tmp_path / "out"), 2016, 4)
+    assert not (tmp_path / "out" / fixed.FACT_VISITS).exists()
+
+
+def test_a_bad_fact_is_not_published(spark, tmp_path):
+    output = str(tmp_path / "out")
+    warehouse.run(spark, land(spark, tmp_path / "in"), output, 2016, 4)
+    before = rows(read_table(spark, output, fixed.FACT_VISITS))
+    twice = ARRIVALS + [(1.0, 582.0, "ABC", 20546.0, 1.0, 20550.5, 2.0, "B2", "M")]
+    inputs = land(spark, tmp_path / "twice", arrivals=twice)
     with pytest.raises(ValueError, match=r"unique_key on fact_i94_visits\(cicid\): 1 violations"):
+        warehouse.run(spark, inputs, output, 2016, 4)
+    assert rows(read_table(spark, output, fixed.FACT_VISITS)) == before
+
+
+def test_what_is_left_out_is_counted(spark, tmp_path):
+    """Arrivals outside the month or undated, rejected ports, and ports without temperature."""
+    output = str(tmp_path / "out")
+    done = warehouse.run(spark, land(spark, tmp_path / "in"), output, 2016, 4)
+    found = {(r.check_name, r.table_name): (r.rows_checked, r.violations) for r in done.checks}
+    assert found["in_period", "arrivals"] == found["date_present", "arrivals"] == (17, 1)
+    rejected = read_table(spark, output, fixed.REJECTED_PORTS)
+    assert {"GHI", "JKL", "MNO", "FOR"} <= {r.code for r in rejected.collect()}
+    assert rows(read_table(spark, output, fixed.PORT_COVERAGE)) == [
+        ("ABC", 1, 1, 1), ("DEF", 1, 1, 1), ("GHI", 1, 0, 0), ("INX", 1, 1, 1),
+        ("MOB", 1, 1, 1), ("NOT", 1, 1, 0),
+    ]
+    for name in ["in_period", "date_present"]:
+        allowed = warehouse.ALLOWED - {(name, "arrivals")}
+        with pytest.raises(ValueError, match=f"{name} on arrivals"):
+            warehouse.run(spark, land(spark, tmp_path / name), output, 2016, 4, allowed=allowed)
+
+
+@pytest.mark.parametrize("row, check", [
+    ("North,US,State of T,City,4,9,2O16,1.0", "well_formed on temperatures"),
+    ("North,US,State of T,City,4,9,2016,n/a", "well_formed on temperatures"),
+    ("North,US,State of T,City,4,31,2016,1.0", "possible_date on temperatures"),
+    ("North,US,State of T,City,,9,2016,1.0", "possible_date on temperatures"),
+])
+def test_bad_temperatures_fail(spark, tmp_path, row, check):
+    inputs = land(spark, tmp_path / "in", temperatures=TEMPERATURES + row + "\n")
+    with pytest.raises(ValueError, match=check + r"\(.*\): 1 violations"):
+        warehouse.run(spark, inputs, str(tmp_path / "out"), 2016, 4)
+    assert not (tmp_path / "out").exists()
+
+
+def test_lenient_dates_are_counted(spark, tmp_path):
+    bad = TEMPERATURES + "North,US,State of T,City,4,31,2016,1.0\n"
+    inputs, output = land(spark, tmp_path / "in", temperatures=bad), str(tmp_path / "out")
+    done = warehouse.run(spark, inputs, output, 2016, 4, lenient_dates=True)
+    assert [r.violations for r in done.checks if r.check_name == "possible_date"] == [1]
+    assert read_table(spark, output, fixed.FACT_VISITS).count() == ROWS[fixed.FACT_VISITS]
+
+
+def test_bad_port_lines_fail(spark, tmp_path):
+    inputs = land(spark, tmp_path / "in")
+    with open(inputs.ports, "a") as file:
+        file.write("\nXYZ = NOWHERE, ST")
+    with pytest.raises(ValueError, match=r"well_formed on ports\(value\): 1 violations"):
         warehouse.run(spark, inputs, str(tmp_path / "out"), 2016, 4)
 
 
+def test_malformed_csv_arrivals(spark, tmp_path):
+    """They stop the job, or are counted and left out where that is allowed."""
+    inputs, output = land(spark, tmp_path / "in"), str(tmp_path / "out")
+    path = tmp_path / "arrivals.csv"
+    path.write_text(
+        "cicid,i94cit,i94port,arrdate,i94mode,depdate,i94visa,visatype,matflag\n"
+        "1,717,ABC,20545,1,2055O,1,B1,M\n2,717,ABC,2O545,1,20550,1,B1,M\n3,717,ABC,20545,1,20550,1,B1,M\n"
+    )
+    values = {**vars(inputs), "arrivals": str(path), "arrivals_format": "csv"}
+    inputs = warehouse.Inputs(**values)
+    with pytest.raises(ValueError, match=r"well_formed on arrivals\(_corrupt_record\): 2 violations in 3"):
+        warehouse.run(spark, inputs, output, 2016, 4)
+    allowed = warehouse.ALLOWED | {("well_formed", "arrivals")}
+    warehouse.run(spark, inputs, output, 2016, 4, allowed=allowed)
+    assert [r.cicid for r in read_table(spark, output, fixed.STAGE_ARRIVALS).collect()] == [3.0]
+
+
+def test_a_month_without_visits(spark, tmp_path):
+    done = warehouse.run(spark, land(spark, tmp_path / "in"), str(tmp_path / "out"), 2016, 7)
+    failed = {(r.check_name, r.table_name) for r in done.checks if not r.passed}
+    assert ("has_rows", fixed.FACT_VISITS) in failed
+    assert done.top_states.collect() == done.top_cities.collect() == []
+
+
+def test_a_date_that_a_month_no_longer_has(spark, tmp_path):
+    output = str(tmp_path / "out")
+    for number, arrivals in enumerate([ARRIVALS, [a for a in ARRIVALS if a[3] != 20547.0]]):
+        inputs = land(spark, tmp_path / f"in-{number}", arrivals=arrivals)
+        warehouse.run(spark, inputs, output, 2016, 4, only_dates=True)
+    assert {r.cicid for r in read_table(spark, output, fixed.FACT_VISITS).collect()} == {1.0, 2.0, 3.0}
+    assert 4.0 not in {r.cicid for r in read_table(spark, output, fixed.STAGE_ARRIVALS).collect()}
+    assert read_table(spark, output, fixed.DIM_DATE).count() == 2
+
+
 def test_a_month_is_added_to_others(spark, tmp_path):
     output = str(tmp_path / "out")
     april = land(spark, tmp_path / "april")
