@@ -40,6 +40,8 @@ PREFIXES = range(3, 9)
 THRESHOLD = 0.5
 BINS = 1200
 LOW, HIGH = -20.0, 40.0
+# Characters whose trigrams are counted at a time, in some 50 MB.
+BLOCK = 1 << 20
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
 SIZE = len(LETTERS) + 1
@@ -61,13 +63,31 @@ _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}[.,;:!?]*(?!\S)")
 
 
+def _blocks(texts_: list[str]) -> Iterator[str]:
+    """Texts with edges around them, about ``BLOCK`` characters at a time; the pieces of a longer one overlap by two."""
+    held, n = [""], 0
+    for text in texts_:
+        if len(text) > BLOCK:
+            edged = f"\n\n{text}\n\n"
+            yield from (edged[at : at + BLOCK + 2] for at in range(0, len(edged) - 2, BLOCK))
+            continue
+        held.append(text)
+        n += len(text)
+        if n >= BLOCK:
+            yield "\n\n".join([*held, ""])
+            held, n = [""], 0
+    if len(held) > 1:
+        yield "\n\n".join([*held, ""])
+
+
 def trigram_counts(texts_: list[str]) -> np.ndarray:
     """How often each three characters follow each other; whatever is no letter is a word's edge."""
-    points = np.frombuffer("\n".join(["", *texts_, ""]).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = _CODES[np.where(points < len(_CODES), points, 0)].astype(np.int64)
-    if len(codes) < 3:
-        return np.zeros(SIZE**3)
-    return np.bincount((codes[:-2] * SIZE + codes[1:-1]) * SIZE + codes[2:], minlength=SIZE**3).astype(np.float64)
+    counts = np.zeros(SIZE**3)
+    for block in _blocks(texts_):
+        points = np.frombuffer(block.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = _CODES[np.where(points < len(_CODES), points, 0)].astype(np.int64)
+        counts += np.bincount((codes[:-2] * SIZE + codes[1:-1]) * SIZE + codes[2:], minlength=SIZE**3)
+    return counts
 
 
 @dataclass(frozen=True)

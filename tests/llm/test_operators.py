@@ -326,6 +326,15 @@ def test_isotonic_is_the_nearest_monotone_fit():
     assert quality.isotonic(np.array([1.0, 0, 2, 1]), np.array([1.0, 1, 2, 2])).tolist() == [0.5, 0.5, 0.75, 0.75]
 
 
+def test_trigrams_of_blocks_add_up(monkeypatch):
+    some = [t or "" for _, t in ROWS]
+    whole = toxicity.trigram_counts(some)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert whole.sum() == sum(map(len, some)) + 2 * len(some)
+    assert (toxicity.trigram_counts(some) == whole).all() and (sum(toxicity.trigram_counts([t]) for t in some) == whole).all()
+    assert not toxicity.trigram_counts([]).any()
+
+
 def test_disguised_words_are_restored(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     restorer = toxicity.corpus_restorer(docs)
