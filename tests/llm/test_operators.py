@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from landfall.llm import contamination, order_minhash, packing, quality, queries, repair, repeats, simhash, templates, toxicity, wrappers
+from landfall.llm import contamination, near_copies, order_minhash, packing, quality, queries, repair, repeats, simhash, templates, toxicity, wrappers
 
 random.seed(7)
 WORDS = ["the", "of", "and", "idiot", "Éclair", "naïve", "x1", "a,b", "###", "日本", "foo", "bar", "baz", "qux"]
@@ -156,6 +156,57 @@ def test_simhash_classes(spark, docs, none, hot, radius):
         assert simhash.near_duplicates(none).count() == 0
 
 
+def jaccard_classes(rows):
+    """The least id of each id's component of pairs at 0.8 or more, by brute force."""
+    sets = []
+    for _, text in rows:
+        w = [x for x in __import__("re").split(r"[ \t\n\r\f\x0B]+", (text or "").lower()) if x]
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or common and 5 * common >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    return by_id((i, least.get(find(k))) for k, (i, _) in enumerate(rows))
+
+
+def test_near_copies_are_all_pairs_at_jaccard_08(spark, docs, none):
+    base = [f"w{i}" for i in range(300)]
+    near = []
+    for i in range(60):  # from equal to under 0.8, of one text and of each other
+        changed = set(random.Random(i).sample(range(300), i % 9))
+        near.append((1000 + i, " ".join(f"x{i}" if j in changed else w for j, w in enumerate(base))))
+    near += [(2000 + k, " ".join(base[: 300 - 20 * k])) for k in range(8)]
+    near += [(3000 + k, f"a{k} b{k} c{k} " + " ".join(base[:40])) for k in range(30)]
+    more = spark.createDataFrame([(i, t, "", "", 0, "", 0) for i, t in near], docs.schema)
+    got = near_copies.near_copies(docs.unionAll(more)).collect()
+    want = jaccard_classes(ROWS + near)
+    assert by_id((r.doc_id, r.component_id) for r in got) == want
+    assert brute_classes(ROWS + near, 2) != want
+    assert near_copies.near_copies(none).count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_of_each_jaccard_class(spark, docs):
+    import corpus_pipeline
+
+    base = sentence(200) + " " + " ".join(f"v{i}" for i in range(100))
+    rows = [(i, base.replace("v50 ", f"y{i} ").replace("v80 ", f"z{i} ")) for i in range(12)] + [(90, sentence(50))]
+    some = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, some, "")
+    assert {r.doc_id for r in kept.collect()} == {i for i, c in jaccard_classes(rows) if i == c} == {0, 90}
+
+
 def test_thresholds_take_the_cheapest_sum():
     costs = [{-1: 0.0, 0: 5.0, 1: 9.0}, {-1: 0.0, 0: 50.0, 1: 90.0}, {-1: 0.0, 0: 6.0, 1: 30.0}]
     assert simhash.thresholds(costs, 0) == (15.0, (1, -1, 0))
