@@ -12,7 +12,9 @@ lines. A leaf's distinct lines are counted first, and everything after is weighe
 counts: a line that a third of all documents have is one row.
 
 Lines are compared after blanks are made one and trimmed, and are given back as they were. Lines of
-fewer than ``words`` words are left alone. Documents that agree are counted by line: one with two
+fewer than ``words`` words, and blank ones, are left alone. The default of 5 is what op6's SQL says; the
+pipeline lets every line in. Lines of fewer than ``WORDS`` words have no variable fields: all of such a line must recur.
+Documents that agree are counted by line: one with two
 lines of a leaf counts for each. A null text is an empty one. Rows of one ``doc_id`` are one
 document as to counts, and each has its own lines; a null ``doc_id`` is a document that is never the first.
 Further columns pass through.
@@ -39,19 +41,23 @@ def _even(raw):
     return F.trim(F.when(odd, F.regexp_replace(raw, r"[ \t\r\f\x0B]+", " ")).otherwise(raw))
 
 
+def _words(even):
+    return F.length(even) - F.length(F.replace(even, F.lit(" "), F.lit(""))) + 1
+
+
 def _masked(even):
-    """Words with figures are variable fields."""
-    return F.when(even.rlike("[0-9]"), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
+    """Words with figures are variable fields, but for short lines."""
+    return F.when((_words(even) >= WORDS) & even.rlike("[0-9]"), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
 
 
 def lines(docs: DataFrame, words: int = WORDS, leading: int = LEADING) -> DataFrame:
-    """``doc_id, row, at, leaf, line``: every line of enough words, its place in the tree and its hash."""
+    """``doc_id, row, at, n, leaf, line``: every line of enough words, its place in the tree and its hash."""
     every = docs.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
     every = every.select("doc_id", "row", "at", _even(F.col("raw")).alias("even"))
-    every = every.withColumn("n", F.length("even") - F.length(F.replace("even", F.lit(" "), F.lit(""))) + 1).filter(F.col("n") >= words)
+    every = every.withColumn("n", _words(F.col("even"))).filter((F.col("n") >= words) & (F.col("even") != ""))
     every = every.select("doc_id", "row", "at", "n", _masked(F.col("even")).alias("masked"))
     leaf = F.xxhash64("n", F.substring_index("masked", " ", leading))
-    return every.select("doc_id", "row", "at", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+    return every.select("doc_id", "row", "at", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring(

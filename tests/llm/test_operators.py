@@ -317,6 +317,20 @@ def test_templates(spark, none):
     assert templates.drop_recurring_lines(d.limit(0)).count() == 0
 
 
+def staged_lines(spark, texts):
+    import corpus_pipeline
+
+    some = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    return {r.doc_id: r.text for r in corpus_pipeline.without_template_lines(spark, some, "").collect()}
+
+
+def test_pipeline_drops_short_recurring_lines(spark):
+    texts = [f"opening {i}\n\n All rights\treserved.\n{i}\nnote {i}" for i in range(4)] + ["Only twice\nlast a"] + ["Only twice\nlast b"]
+    got = staged_lines(spark, texts)
+    assert got[0] == texts[0] and got[4] == texts[4] and got[5] == texts[5]
+    assert all(got[i] == f"opening {i}\n\n{i}\nnote {i}" for i in (1, 2, 3))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x = "</p>";</script></head><body><header>Site</header>
 <nav><ul><li><a href="/a">A</a></li><li>B</li></ul></nav><div class="cookie-notice">We use cookies</div>
 <div class="layout"><div class="sidebar">Side</div><div class="content-body"><h1>Head %d</h1><p>First  &amp; %s</p><h6>Share this page</h6>
