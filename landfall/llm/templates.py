@@ -12,9 +12,9 @@ lines. A leaf's distinct lines are counted first, and everything after is weighe
 counts: a line that a third of all documents have is one row.
 
 Lines are compared after blanks are made one and trimmed, and are given back as they were. Lines of
-fewer than ``words`` words, and blank ones, are left alone. The default of 5 is what op6's SQL says; the
+fewer than ``words`` words, and blank ones, are left alone. The default of 5 and no ``long`` is what op6's SQL says; the
 pipeline lets every line in. Lines of fewer than ``WORDS`` words have no variable fields: all of such a line must recur.
-Documents that agree are counted by line: one with two
+A line of ``long`` words or more is dropped from its second document on, even if only two have it. Documents that agree are counted by line: one with two
 lines of a leaf counts for each. A null text is an empty one. Rows of one ``doc_id`` are one
 document as to counts, and each has its own lines; a null ``doc_id`` is a document that is never the first.
 Further columns pass through.
@@ -28,6 +28,8 @@ WORDS = 5
 LEADING = 3
 LEAST = 3
 SHARE = 0.8
+# Words from which a line in two documents is a repeat, where that is asked for.
+LONG = 20
 FIELD = "<*>"
 # Distinct lines of shared leaves are broadcast, to fetch their words, up to so many.
 BROADCAST_ROWS = 500_000
@@ -92,12 +94,16 @@ def recurring(
 
 def drop_recurring_lines(
     docs: DataFrame, least: int = LEAST, share: float = SHARE, words: int = WORDS, leading: int = LEADING,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, long: int | None = None,
 ) -> DataFrame:
     """All columns of ``docs``, with ``text`` less the lines of recurring templates, and ``n_lines, n_dropped``."""
     own = docs.select("doc_id", "text")
     every = stored(lines(own, words, leading), "placed-lines")
     found = stored(recurring(own, every, least, share, broadcast_rows).select("leaf", "line", "first"), "recurring-lines")
+    if long is not None:
+        twice = every.filter(F.col("n") >= long).groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one"))
+        twice = twice.groupBy("leaf", "line").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first"))
+        found = found.unionAll(stored(twice.filter("documents > 1").select("leaf", "line", "first"), "long-lines"))
     dropped = every.join(found, ["leaf", "line"]).filter(F.coalesce(F.col("doc_id") != F.col("first"), F.lit(True)))
     dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("at").alias("__places"))  # of one document
     dropped = dropped.select(F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row"), "__places")

@@ -331,6 +331,13 @@ def test_pipeline_drops_short_recurring_lines(spark):
     assert all(got[i] == f"opening {i}\n\n{i}\nnote {i}" for i in (1, 2, 3))
 
 
+def test_pipeline_drops_long_lines_of_two_documents(spark):
+    passage = " ".join(f"p{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60))
+    cut = " ".join(passage.split()[1:20])
+    got = staged_lines(spark, [f"own one\n{passage}\n{cut}", f"own two\n{cut}\n  {passage} ", "own three"])
+    assert got == {0: f"own one\n{passage}\n{cut}", 1: f"own two\n{cut}", 2: "own three"}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x = "</p>";</script></head><body><header>Site</header>
 <nav><ul><li><a href="/a">A</a></li><li>B</li></ul></nav><div class="cookie-notice">We use cookies</div>
 <div class="layout"><div class="sidebar">Side</div><div class="content-body"><h1>Head %d</h1><p>First  &amp; %s</p><h6>Share this page</h6>
