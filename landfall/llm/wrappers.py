@@ -149,15 +149,20 @@ SIG, KIND, OPTIONAL, REPEATED, TEXT, CHARS, PAGES, INSIDE = range(8)
 
 def wrapper(element: Element) -> list:
     """The wrapper of one page."""
-    items = []
-    for x in element.inside:
-        if isinstance(x, str):
-            text = " ".join(x.split())
-            if text:
-                items.append(["#", "", False, False, text if len(text) <= TEMPLATE_CHARS else True, len(text), 1, []])
-        elif x.kind != "out":
-            items.append(wrapper(x))
-    return [element.sig, element.kind, False, False, None, sum(i[CHARS] for i in items), 1, repeats(items)]
+    every, made = [element], {}
+    for e in every:
+        every += [x for x in e.inside if not isinstance(x, str) and x.kind != "out"]
+    for e in reversed(every):  # what is inside comes first
+        items = []
+        for x in e.inside:
+            if isinstance(x, str):
+                text = " ".join(x.split())
+                if text:
+                    items.append(["#", "", False, False, text if len(text) <= TEMPLATE_CHARS else True, len(text), 1, []])
+            elif x.kind != "out":
+                items.append(made.pop(id(x)))
+        made[id(e)] = [e.sig, e.kind, False, False, None, sum(i[CHARS] for i in items), 1, repeats(items)]
+    return made[id(element)]
 
 
 def repeats(items: list[list]) -> list[list]:
@@ -188,36 +193,72 @@ def repeats(items: list[list]) -> list[list]:
 
 def align(a: list, b: list) -> list:
     """One wrapper for what two of the same tag describe."""
-    inside, i, left, right = [], 0, a[INSIDE], b[INSIDE]
-    places: dict[str, list[int]] = {}
-    for at, x in enumerate(left):
-        places.setdefault(x[SIG], []).append(at)
-    for y in right:
-        at = next((p for p in places.get(y[SIG], ()) if p >= i), None)
-        if at is None:
-            inside.append([*y[:OPTIONAL], True, *y[REPEATED:]])
-        else:
-            inside += [[*x[:OPTIONAL], True, *x[REPEATED:]] for x in left[i:at]]
-            inside.append(align(left[at], y))
-            i = at + 1
-    inside += [[*x[:OPTIONAL], True, *x[REPEATED:]] for x in left[i:]]
-    text = a[TEXT] if a[TEXT] == b[TEXT] else True
-    return [a[SIG], a[KIND], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[CHARS] + b[CHARS], a[PAGES] + b[PAGES], inside]
-
-
-def _marked(node: list, path: list[str]) -> Iterator[tuple[int, list[str], list]]:
-    for x in node[INSIDE]:
-        own = path if x[SIG].startswith("(") else [*path, x[SIG]]
+    whole = [None]
+    todo = [(a, b, whole, 0)]
+    while todo:
+        a, b, into, k = todo.pop()
+        inside, i, left, right = [], 0, a[INSIDE], b[INSIDE]
+        places: dict[str, list[int]] = {}
+        for at, x in enumerate(left):
+            places.setdefault(x[SIG], []).append(at)
+        for y in right:
+            at = next((p for p in places.get(y[SIG], ()) if p >= i), None)
+            if at is None:
+                inside.append([*y[:OPTIONAL], True, *y[REPEATED:]])
+            else:
+                inside += [[*x[:OPTIONAL], True, *x[REPEATED:]] for x in left[i:at]]
+                todo.append((left[at], y, inside, len(inside)))
+                inside.append(None)
+                i = at + 1
+        inside += [[*x[:OPTIONAL], True, *x[REPEATED:]] for x in left[i:]]
+        text = a[TEXT] if a[TEXT] == b[TEXT] else True
+        into[k] = [a[SIG], a[KIND], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[CHARS] + b[CHARS], a[PAGES] + b[PAGES], inside]
+    return whole[0]
+
+
+def _marked(root: list) -> tuple[int, list[str], list] | None:
+    """Characters, path and item of the largest that is marked as the article's, the first of equals."""
+    best, todo = None, [(x, None) for x in reversed(root[INSIDE])]
+    while todo:
+        x, above = todo.pop()
+        own = above if x[SIG].startswith("(") else (x[SIG], above)
         if x[KIND] == "main":
-            yield x[CHARS], own, x
+            if best is None or x[CHARS] > best[0]:
+                best = x[CHARS], own, x
         elif x[TEXT] is None:
-            yield from _marked(x, own)
+            todo += [(y, own) for y in reversed(x[INSIDE])]
+    if best is None:
+        return None
+    path, own = [], best[1]
+    while own:
+        path.append(own[0])
+        own = own[1]
+    return best[0], path[::-1], best[2]
+
+
+def _flat(root: list) -> list[list]:
+    """A wrapper's items in page order, each with the number of those inside: JSON does not nest without bound."""
+    out, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        out.append([*x[:INSIDE], len(x[INSIDE])])
+        todo += reversed(x[INSIDE])
+    return out
+
+
+def _nested(items: list[list]) -> list:
+    """The wrapper that ``_flat`` laid flat."""
+    done: list[list] = []
+    for x in reversed(items):
+        inside = [done.pop() for _ in range(x[INSIDE])]
+        done.append([*x[:INSIDE], inside])
+    return done[0]
 
 
 def rules(root: list) -> dict:
     """Where a wrapper's pages have their article, as a path of tags, and which texts in it are template."""
     node, path = root, []
-    marked = max(_marked(root, []), key=lambda m: m[0], default=None)
+    marked = _marked(root)
     if marked and marked[0] * 4 >= root[CHARS]:
         _, path, node = marked
     else:
@@ -227,7 +268,7 @@ def rules(root: list) -> dict:
             if best is None or best[CHARS] < MOST * node[CHARS] or best[REPEATED] or best[SIG].split(".")[0] in ("p", *INLINE):
                 break
             node = best
-            path = path if best[SIG].startswith("(") else [*path, best[SIG]]
+            path += [] if best[SIG].startswith("(") else [best[SIG]]
     fixed, varies = [], False
     todo = [node]
     while todo:
@@ -256,21 +297,23 @@ def blocks(element: Element) -> list[str]:
         if text:
             out.append(text)
 
-    def walk(e: Element) -> None:
-        for x in e.inside:
-            if isinstance(x, str):
-                run.append(x)
-            elif x.kind != "out" or (x.name == "header" and x.sig == "header" and e.kind == "main"):
-                if x.name in ("br", "hr", "img", "wbr"):
-                    run.append(" ")
-                elif x.name in INLINE:
-                    walk(x)
-                else:
-                    close()
-                    walk(x)
+    todo = [(element, iter(element.inside), False)]
+    while todo:
+        e, rest, ends = todo[-1]
+        x = next(rest, None)
+        if x is None:
+            todo.pop()
+            if ends:
+                close()
+        elif isinstance(x, str):
+            run.append(x)
+        elif x.kind != "out" or (x.name == "header" and x.sig == "header" and e.kind == "main"):
+            if x.name in ("br", "hr", "img", "wbr"):
+                run.append(" ")
+            else:
+                if x.name not in INLINE:
                     close()
-
-    walk(element)
+                todo.append((x, iter(x.inside), x.name not in INLINE))
     close()
     return out
 
@@ -302,7 +345,7 @@ def _of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(found: dict[str, list]) -> pa.RecordBatch:
-    said = [json.dumps(w, ensure_ascii=False, separators=(",", ":")) for w in found.values()]
+    said = [json.dumps(_flat(w), ensure_ascii=False, separators=(",", ":")) for w in found.values()]
     return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(said, pa.string())], ["host", "wrapper"])
 
 
@@ -312,11 +355,11 @@ def _of_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, said in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist()):
             if name == host and held is not None:
-                held = align(held, json.loads(said))
+                held = align(held, _nested(json.loads(said)))
             else:
                 if held is not None:
                     yield _rows({host: held})
-                host, held = name, json.loads(said)
+                host, held = name, _nested(json.loads(said))
     if held is not None:
         yield _rows({host: held})
 
@@ -335,7 +378,7 @@ def _host():
 
 def _as_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        said = [json.dumps(rules(json.loads(w)), ensure_ascii=False) for w in batch.column("wrapper").to_pylist()]
+        said = [json.dumps(rules(_nested(json.loads(w))), ensure_ascii=False) for w in batch.column("wrapper").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(said, pa.string())], ["host", "rule"])
 
 

@@ -357,6 +357,14 @@ def test_main_text(spark):
     assert wrappers.main_texts(df.limit(0)).count() == 0
 
 
+def test_main_text_of_deep_pages(spark):
+    deep = {"div": "<div>" * 5000 + "deep text" + "</div>" * 5000, "span": "<p>" + "<span>" * 5000 + "deep text", "font": "<font>" * 5000 + "deep text"}
+    pages = [(10 * k + i, f"http://{name}.example/{i}", html) for k, (name, html) in enumerate(deep.items()) for i in range(2)]
+    pages.append((99, "http://plain.example", "<article><p>plain</p></article>"))
+    got = wrappers.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: "plain" if i == 99 else "deep text" for i, _, _ in pages}
+
+
 def test_wrapper_is_union_free():
     one = wrappers.wrapper(wrappers.parse("<div><p>a</p><p>b</p><i>x</i></div>"))
     two = wrappers.wrapper(wrappers.parse("<div><p>a</p><b>y</b></div>"))
