@@ -49,7 +49,7 @@ def _words(even):
 
 def _masked(even):
     """Words with figures are variable fields, but for short lines."""
-    return F.when((_words(even) >= WORDS) & even.rlike("[0-9]"), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
+    return F.when(even.rlike("[0-9]") & (_words(even) >= WORDS), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
 
 
 def lines(docs: DataFrame, words: int = WORDS, leading: int = LEADING) -> DataFrame:
