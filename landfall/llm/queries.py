@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.llm import contamination, order_minhash, packing, quality, repair, repeats, simhash, templates, toxicity, wrappers
+from landfall.llm import (
+    audit, codebooks, contamination, order_minhash, packing, quality, repair, repeats, simhash, templates, toxicity, warc, wrappers,
+)
 from landfall.llm.tables import table
 from landfall.sources import shared_folder
 
@@ -131,12 +133,117 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    found = codebooks.with_label_error(codes)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(codebooks.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def _op11_sql() -> str:
+    """The rounds written one after the other."""
+    nearest = """
+  a{k} AS MATERIALIZED (
+    SELECT vec_id, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS near
+    FROM (SELECT vec_id, p, x, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i]))) AS d
+          FROM parts JOIN c{k} USING (p))
+    GROUP BY vec_id, p),"""
+    moved = """
+  m{k} AS (
+    SELECT p, e, list(v ORDER BY i) AS y
+    FROM (SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS v
+          FROM (SELECT p, near.e AS e, x, unnest(range(1, len(x) + 1)) AS i FROM a{j}) GROUP BY p, e, i)
+    GROUP BY p, e),
+  c{k} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.y, c{j}.y) AS y FROM c{j} LEFT JOIN m{k} USING (p, e)),"""
+    rounds = "".join(nearest.format(k=k) + moved.format(k=k + 1, j=k) for k in range(codebooks.ROUNDS))
+    return f"""
+  WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  parts AS MATERIALIZED (
+    SELECT vec_id, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(0, 8) r(p)),
+  c0 AS MATERIALIZED (
+    SELECT p, e, x AS y FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 16) USING (vec_id)),
+  {rounds}{nearest.format(k=codebooks.ROUNDS)}
+  coded AS (
+    SELECT vec_id, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code, CAST(sum(near.d) AS BIGINT) AS error
+    FROM a{codebooks.ROUNDS} GROUP BY vec_id)
+  SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+         (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM c{codebooks.ROUNDS}) AS codebooks_sha256
+  FROM coded JOIN kept USING (vec_id)
+"""
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP12_SQL = """
+  WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+  g AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+  v AS (SELECT page_id, html, h, first, list_transform(range(0, 8), lambda i: CAST('0x' || substr(h, 5 * i + 1, 5) AS INTEGER)) AS v FROM p JOIN g USING (h))
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+  FROM v
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+  WITH own AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') AS w
+    FROM documents),
+  known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+  firsts AS (SELECT coalesce(text, '') AS text, min(doc_id) AS first FROM documents GROUP BY 1),
+  bits AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+            'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+            'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > first, first IS NOT NULL)} AS f
+    FROM own JOIN firsts USING (text) LEFT JOIN known USING (doc_id)),
+  failed AS (
+    SELECT part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS fails,
+           count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM bits GROUP BY ALL),
+  letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+  orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+  steps AS (
+    SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS l, string_split(left(filter_order, step - 1), '') AS before
+    FROM orders, range(1, 6) r(step)),
+  counts AS (
+    SELECT part, filter_order, step, l,
+           coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND NOT list_contains(fails, l)), 0) AS kept,
+           coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, l)), 0) AS removed,
+           coalesce(sum(n) FILTER (list_has_any(fails, before) AND list_contains(fails, l)), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails = [l]), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, l)), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, l)), 0) AS toxic_lost
+    FROM failed, steps GROUP BY ALL)
+  SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+         CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+         CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+  FROM counts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_packing, op3_quality, op4_toxicity, op5_contamination,
         op6_line_templates, op7_token_shards, op8_simhash, op9_order_minhash, op10_repeats,
+        op11_codebooks, op12_warc, op13_filter_audit,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_contamination": OP5_SQL, "op6_line_templates": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_contamination": OP5_SQL, "op6_line_templates": OP6_SQL, "op11_codebooks": _op11_sql(), "op12_warc": OP12_SQL, "op13_filter_audit": OP13_SQL,
+}

@@ -428,7 +428,7 @@ def test_disguised_words_are_restored(spark):
 def test_query_equals_sql(spark, name, scale):
     df = queries.QUERIES[name](spark, f"/root/testdata/{scale}")
     db = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS FROM '/root/testdata/{scale}/{t}.parquet'")
     columns = sorted(df.columns)
     expected = db.sql(queries.ORACLE_SQL[name])
