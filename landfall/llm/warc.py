@@ -485,7 +485,8 @@ def base32_sha1(payload: Column) -> Column:
     hexed = F.sha1(payload)
     twenty = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(hexed, 5 * i + 1, F.lit(5)), 16, 10).cast("int"))
     letter = lambda v, s: F.substring(letters, F.shiftright(v, s).bitwiseAND(31) + 1, F.lit(1))
-    return F.array_join(F.transform(twenty, lambda v: F.concat(*[letter(v, s) for s in (15, 10, 5, 0)])), "")
+    text = F.array_join(F.transform(twenty, lambda v: F.concat(*[letter(v, s) for s in (15, 10, 5, 0)])), "")
+    return F.when(hexed.isNotNull(), text)
 
 
 def _record_id(page: Column, digest: Column) -> Column:
