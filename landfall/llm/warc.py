@@ -1,12 +1,13 @@
 """WARC archives as a Spark data source, and pages written into and read from them.
 
 ``spark.read.format("warc")`` (or ``read_warc``) reads WARC 1.0 and 1.1 files, plain (``.warc``) or with a gzip member a record
-(``.warc.gz``). Files are planned into partitions of about ``partition_bytes``. Conditions on ``record_type`` and the other columns that
+(``.warc.gz``). Files are planned into partitions of about ``partition_bytes``; those that are written here are cut at places that
+their writer noted, others are read whole. Conditions on ``record_type`` and the other columns that
 come from a record's headers are pushed down: headers are parsed first, and the block of a record that does not qualify,
 or whose payload is not asked for (``payload=false``), is passed over. In a plain file that is a seek; in a gzip member the
 length that writers may leave in its header (subfield ``sl``) is, and without one the member is inflated but not looked at.
 
-Writing makes archives of about ``file_bytes`` a task, with a gzip member a record and its length. Tasks write under names of
+Writing makes archives of up to about ``file_bytes`` in each task, with a gzip member a record and its length. Tasks write under names of
 their own and the driver lists them when all are done, so tasks that were lost, repeated or broken off leave nothing that is
 read. A folder without such a list, from elsewhere, is read whole.
 
@@ -38,8 +39,10 @@ from pyspark.sql.types import StructType
 from landfall.llm.tables import stored
 
 LEAST_BYTES = 0
-FILE_BYTES = 128 << 20
-PARTITION_BYTES = 128 << 20
+FILE_BYTES = 1 << 30
+PARTITION_BYTES = 32 << 20
+# So far apart are the places at which a file may be cut for reading.
+MARK_BYTES = 8 << 20
 LEVEL = 6
 CHUNK = 1 << 16
 
@@ -272,12 +275,14 @@ def _record(source, wanted: list[Predicate], payload: bool) -> tuple[dict | None
     return row, size, read
 
 
-def read_archive(system: fs.FileSystem, path: str, wanted: list[Predicate] = (), payload: bool = True) -> Iterator[dict]:
-    """The records of one archive that qualify, in order."""
+def read_archive(
+    system: fs.FileSystem, path: str, wanted: list[Predicate] = (), payload: bool = True, start: int = 0, stop: int | None = None
+) -> Iterator[dict]:
+    """The records of one archive that qualify, in order; of those that begin from ``start`` to before ``stop``."""
     with system.open_input_file(path) as file:
-        end, at = file.size(), 0
+        end, at = file.size(), start
         gzip = file.read(2) == b"\x1f\x8b"
-        while at < end:
+        while at < (end if stop is None else stop):
             try:
                 source = _Member(file, at) if gzip else _Plain(file, at)
                 row, size, read = _record(source, wanted, payload)
@@ -295,13 +300,12 @@ def read_archive(system: fs.FileSystem, path: str, wanted: list[Predicate] = (),
             at = after
 
 
-@dataclass
 class Archives(ds.InputPartition):
-    paths: tuple[str, ...]
+    """Stretches of archives, each a path, where it starts and where it stops."""
 
-    def __init__(self, paths: tuple[str, ...]) -> None:
-        super().__init__(paths)
-        self.paths = paths
+    def __init__(self, stretches: list[tuple[str, int, int]]) -> None:
+        super().__init__(stretches)
+        self.stretches = stretches
 
 
 class WarcReader(ds.DataSourceReader):
@@ -322,19 +326,20 @@ class WarcReader(ds.DataSourceReader):
     def partitions(self) -> list[Archives]:
         system, root = file_system(self.path)
         groups, held = [[]], 0
-        for path, size in archives(system, root):
-            if groups[-1] and held + size > self.most:
-                groups.append([])
-                held = 0
-            groups[-1].append(path)
-            held += size
-        return [Archives(tuple(g)) for g in groups]
+        for path, size, marks in archives(system, root):
+            for start, stop in zip([0, *marks], [*marks, size]):
+                if groups[-1] and held + stop - start > self.most:
+                    groups.append([])
+                    held = 0
+                groups[-1].append((path, start, stop))
+                held += stop - start
+        return [Archives(g) for g in groups]
 
     def read(self, partition: Archives) -> Iterator[pa.RecordBatch]:
         system, _ = file_system(self.path)
         rows, held = [], 0
-        for path in partition.paths:
-            for row in read_archive(system, path, self.wanted, self.payload):
+        for path, start, stop in partition.stretches:
+            for row in read_archive(system, path, self.wanted, self.payload, start, stop):
                 rows.append(row)
                 held += len(row["payload"] or b"") + 512
                 if held > 8 << 20:
@@ -343,20 +348,20 @@ class WarcReader(ds.DataSourceReader):
         yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
 
-def archives(system: fs.FileSystem, root: str) -> list[tuple[str, int]]:
-    """Paths and sizes of the archives of a file or folder; those that its lists name, where it has any."""
+def archives(system: fs.FileSystem, root: str) -> list[tuple[str, int, list[int]]]:
+    """Paths, sizes and noted places of the archives of a file or folder; of those that its lists name, where it has any."""
     info = system.get_file_info(root)
     if info.type == fs.FileType.File:
-        return [(info.path, info.size)]
+        return [(info.path, info.size, [])]
     files = [f for f in system.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File]
     lists = [f.path for f in files if f.base_name.startswith("_archives-")]
     if lists:
         found = []
         for path in lists:
             with system.open_input_file(path) as file:
-                found += [(f"{root.rstrip('/')}/{a['name']}", a["bytes"]) for a in json.loads(file.read())]
+                found += [(f"{root.rstrip('/')}/{a['name']}", a["bytes"], a["marks"]) for a in json.loads(file.read())]
     else:
-        found = [(f.path, f.size) for f in files if re.search(r"\.warc(\.gz)?$", f.base_name)]
+        found = [(f.path, f.size, []) for f in files if re.search(r"\.warc(\.gz)?$", f.base_name)]
     return sorted(found)
 
 
@@ -409,7 +414,7 @@ class Written(ds.WriterCommitMessage):
 class WarcWriter(ds.DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool) -> None:
         self.path, self.overwrite = options["path"], overwrite
-        self.most = int(options.get("file_bytes", FILE_BYTES))
+        self.most, self.apart = int(options.get("file_bytes", FILE_BYTES)), int(options.get("mark_bytes", MARK_BYTES))
         self.date = options.get("date") or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -419,10 +424,12 @@ class WarcWriter(ds.DataSourceArrowWriter):
         for batch in iterator:
             for row in batch.to_pylist():
                 if file is None:
-                    files.append({"name": f"{uuid.uuid4().hex}.warc.gz", "bytes": 0})
+                    files.append({"name": f"{uuid.uuid4().hex}.warc.gz", "bytes": 0, "marks": []})
                     file = system.open_output_stream(f"{root}/{files[-1]['name']}", compression=None)
                 member = gzip_member(record_bytes(row, self.date))
                 file.write(member)
+                if files[-1]["bytes"] - (files[-1]["marks"] or [0])[-1] >= self.apart:
+                    files[-1]["marks"].append(files[-1]["bytes"])
                 files[-1]["bytes"] += len(member)
                 if files[-1]["bytes"] >= self.most:
                     file.close()

@@ -164,4 +164,14 @@ def test_partitions_are_planned_by_size(tmp_path):
         (tmp_path / f"{i}.warc").write_bytes(RECORDS[0] * 10)
     size = len(RECORDS[0]) * 10
     reader = warc.WarcReader({"path": str(tmp_path), "partition_bytes": str(2 * size)})
-    assert [len(p.paths) for p in reader.partitions()] == [2, 2, 2]
+    assert [len(p.stretches) for p in reader.partitions()] == [2, 2, 2]
+
+
+def test_written_files_are_cut_for_reading(spark, tmp_path):
+    path = str(tmp_path / "w")
+    pages = spark.createDataFrame([(i, "u", os.urandom(500).hex(), "x", 1) for i in range(60)], SCHEMA).coalesce(1)
+    warc.page_records(pages).coalesce(1).write.format("warc").mode("append").option("mark_bytes", "4000").save(path)
+    assert len(warc.archives(*warc.file_system(path))) == 1
+    found = warc.read_warc(spark, path, partition_bytes=5000)
+    assert found.rdd.getNumPartitions() > 5
+    assert sorted(int(r.headers["page-id"]) for r in found.collect()) == list(range(60))
