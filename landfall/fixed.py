@@ -13,6 +13,11 @@ FACT_VISITS = "fact_i94_visits"
 # Tables about what the dimensions and the fact leave out.
 REJECTED_PORTS = "rejected_us_ports"
 PORT_COVERAGE = "port_coverage"
+QUARANTINED = "quarantined_rows"
+
+# Tables kept beside the fact: which keys a month has, and sums by date and port.
+KEY_SUMMARIES = "key_summaries"
+PORT_TOTALS = "port_totals"
 
 # Columns of the visits fact, in order.
 VISIT_COLUMNS = [

@@ -11,7 +11,10 @@ from landfall.operators.dimensions import (
     state_names,
     well_formed_port,
 )
-from landfall.operators.rankings import visits_by
+from landfall.operators.keys import cells_for, folded, met_cells, merged, summarise_keys, suspects
+from landfall.operators.merging import latest, replaced
+from landfall.operators.quarantine import quarantined, reason
+from landfall.operators.rankings import port_totals, rank_totals, visits_by
 from landfall.operators.staging import (
     distinct_where_repeated,
     keep_arrivals,
@@ -24,8 +27,9 @@ from landfall.operators.staging import (
 from landfall.operators.visits import build_visits, port_coverage
 
 __all__ = [
-    "build_visits", "code_list", "date_dim", "distinct_where_repeated", "keep_arrivals",
-    "keep_listed", "keep_present", "known_ports", "malformed_lines", "port_coverage",
-    "port_places", "port_rejects", "ports_dim", "repeated_values", "stage_arrivals",
-    "stage_temperatures", "state_names", "visits_by", "well_formed_port",
+    "build_visits", "cells_for", "code_list", "date_dim", "distinct_where_repeated", "folded", "keep_arrivals",
+    "keep_listed", "keep_present", "known_ports", "latest", "malformed_lines", "merged", "met_cells", "port_coverage",
+    "port_places", "port_rejects", "port_totals", "ports_dim", "quarantined", "rank_totals", "reason", "repeated_values",
+    "replaced", "stage_arrivals", "stage_temperatures", "state_names", "summarise_keys", "suspects", "visits_by",
+    "well_formed_port",
 ]

@@ -80,7 +80,7 @@ def report(
     else:
         totals = df.agg(F.count("*").alias("rows_checked"), *counted)
 
-    def verdict(name: str, column: str, violations: str, passed: Column) -> Column:
+    def result(name: str, column: str, violations: str, passed: Column) -> Column:
         return F.struct(
             F.lit(name).alias("check_name"),
             F.lit(table).alias("table_name"),
@@ -96,22 +96,30 @@ def report(
             passed = F.col(mark) == 0
         else:
             passed = F.lit(not check.violates) & (F.col("rows_checked") >= check.min_rows)
-        verdicts.append(verdict(check.name, check.column, mark, passed))
+        verdicts.append(result(check.name, check.column, mark, passed))
     if key:
         passed = F.col("repeats") == 0
-        verdicts.append(verdict("unique_key", ",".join(key), "repeats", passed))
+        verdicts.append(result("unique_key", ",".join(key), "repeats", passed))
     return totals.select(F.inline(F.array(*verdicts)))
 
 
+def verdict(check: Check, table: str, rows: int, violations: int) -> Row:
+    """A row as ``report`` has it, of counts that are known already."""
+    return Row(
+        check_name=check.name, table_name=table, column_name=check.column,
+        passed=violations == 0, rows_checked=rows, violations=violations,
+    )
+
+
 def raise_on_failure(
-    results: DataFrame, allowed: Collection[tuple[str, str]] = ()
+    results: DataFrame | list[Row], allowed: Collection[tuple[str, str]] = ()
 ) -> list[Row]:
     """Run the checks, raise ValueError naming those that failed, else return all results.
 
     Failures of ``allowed`` (check name, table name) pairs are returned like the others. Only
     the result rows reach the driver, one per check.
     """
-    rows = results.collect()
+    rows = results.collect() if isinstance(results, DataFrame) else results
     failed = [
         f"{r.check_name} on {r.table_name}({r.column_name}): "
         f"{r.violations} violations in {r.rows_checked} rows"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landfall import fixed
-from landfall.functions import date_from_parts, sas_date, stay_days
+from landfall.functions import date_from_parts, sas_date, serial_in_period, stay_days
 from landfall.operators import (
     build_visits,
     code_list,
@@ -35,9 +35,11 @@ from landfall.operators.quality import (
 )
 from landfall.plans import mapped, warehouse
 from landfall.sources import (
+    Load,
     read_lines,
     read_table,
     read_temperatures,
+    settle,
     shared_folder,
     write_by_date,
     write_table,
@@ -761,6 +763,32 @@ GOOD_DAYS = f"({EVENT_DAYS}) WHERE event_type = 'view' AND day(day) NOT IN (5, 6
 PORT_LINES = "(SELECT false AS bad FROM customer UNION ALL SELECT true FROM nation)"
 
 
+def run_with_bad_rows(spark: SparkSession, sf_dir: str, output: str, only_dates: bool = False) -> warehouse.Outcome:
+    """A run over CSV files into which bad rows of every kind are mixed."""
+    kind = F.pmod(F.col("i94port").cast("int"), F.lit(50))
+    arrivals = mapped.event_arrivals(spark, sf_dir)
+    arrivals = arrivals.withColumns({
+        "arrdate": F.when(kind == 9, F.col("arrdate") + 40).when(kind != 8, F.col("arrdate")),
+        "depdate": F.concat(F.when(kind == 7, "x").otherwise(""), F.col("depdate").cast("string")),
+    })
+    days = mapped.event_temperatures(spark, sf_dir)
+    value = F.when(F.col("Day") == 5, "n/a").otherwise(F.col("AvgTemperature").cast("string"))
+    moved = F.col("Day") == 6
+    days = days.withColumns({
+        "AvgTemperature": value,
+        "Month": F.when(moved, 2).otherwise(F.col("Month")),
+        "Day": F.when(moved, 30).otherwise(F.col("Day")),
+    })
+    bad = mapped.table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+    ports = mapped.port_lines(spark, sf_dir).unionAll(bad)
+    inputs = landing(spark, sf_dir, arrivals, days, ports, arrivals_format="csv")
+    allowed = warehouse.ALLOWED | {("well_formed", t) for t in ("arrivals", "temperatures", "ports")}
+    return warehouse.run(
+        spark, inputs, output, 2024, 1, country="view", state="12",
+        only_dates=only_dates, lenient_dates=True, allowed=allowed,
+    )
+
+
 def counted_bad(name: str, table: str, column: str, bad: str, rows: str) -> str:
     found = f"count(*) FILTER ({bad})"
     return checked(name, table, column, f"{found} = 0", found, rows)
@@ -789,28 +817,7 @@ def counted_bad(name: str, table: str, column: str, bad: str, rows: str) -> str:
 )
 def warehouse_checks(spark, sf_dir):
     """All checks of a run over CSV files into which bad rows of every kind are mixed."""
-    kind = F.pmod(F.col("i94port").cast("int"), F.lit(50))
-    arrivals = mapped.event_arrivals(spark, sf_dir)
-    arrivals = arrivals.withColumns({
-        "arrdate": F.when(kind == 9, F.col("arrdate") + 40).when(kind != 8, F.col("arrdate")),
-        "depdate": F.concat(F.when(kind == 7, "x").otherwise(""), F.col("depdate").cast("string")),
-    })
-    days = mapped.event_temperatures(spark, sf_dir)
-    value = F.when(F.col("Day") == 5, "n/a").otherwise(F.col("AvgTemperature").cast("string"))
-    moved = F.col("Day") == 6
-    days = days.withColumns({
-        "AvgTemperature": value,
-        "Month": F.when(moved, 2).otherwise(F.col("Month")),
-        "Day": F.when(moved, 30).otherwise(F.col("Day")),
-    })
-    bad = mapped.table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
-    ports = mapped.port_lines(spark, sf_dir).unionAll(bad)
-    inputs = landing(spark, sf_dir, arrivals, days, ports, arrivals_format="csv")
-    allowed = warehouse.ALLOWED | {("well_formed", t) for t in ("arrivals", "temperatures", "ports")}
-    done = warehouse.run(
-        spark, inputs, shared_folder(spark, "warehouse"), 2024, 1, country="view", state="12",
-        lenient_dates=True, allowed=allowed,
-    )
+    done = run_with_bad_rows(spark, sf_dir, shared_folder(spark, "warehouse"))
     types = ("check_name string, table_name string, column_name string, passed boolean, "
              "rows_checked long, violations long")
     return spark.createDataFrame([tuple(row) for row in done.checks], types)
@@ -832,3 +839,212 @@ def monthly_reload(spark, sf_dir):
     return fact.groupBy("arrdate").agg(
         F.count("*").alias("n"), F.sum("cicid").cast("long").alias("ids")
     )
+
+
+# --- Loads, corrections and what is kept apart ---------------------------------------------
+
+
+KEPT = "c_nationkey NOT IN (3, 4, 5)"
+TIMES = "o_orderdate >= DATE '1998-05-01' AND o_orderdate < DATE '1998-07-01'"
+JULY = "o_orderdate >= DATE '1998-07-01' AND o_orderdate < DATE '1998-08-01'"
+
+
+@query(
+    " UNION ALL ".join(
+        f"""
+  SELECT '{key}' AS label, count(*) FILTER (found) = 0 AS passed, count(*) AS rows_checked, count(*) FILTER (found) AS violations
+  FROM (SELECT {key} IN (SELECT {key} FROM orders WHERE {TIMES}) AS found FROM orders WHERE {JULY})
+"""
+        for key in ("o_orderkey", "o_custkey")
+    )
+)
+def dq_unique_across_months(spark, sf_dir):
+    """Keys of July against those of May and June: order keys are new ones, customers come again."""
+    orders = mapped.table(spark, sf_dir, "orders")
+    results = []
+    for key in ("o_orderkey", "o_custkey"):
+        rows = orders.select(F.col(key).cast("double").alias("cicid"), mapped.serial(F.col("o_orderdate")).alias("arrdate"))
+        root = shared_folder(spark, "warehouse")
+        for month in (5, 6, 7):
+            load = Load(spark, root)
+            staged = load.write(rows.filter(serial_in_period("arrdate", 1998, month)), fixed.STAGE_ARRIVALS, "arrdate", lambda _: False)
+            visits = staged.select("cicid", sas_date("arrdate").alias("arrdate"))
+            visits = load.write(visits, fixed.FACT_VISITS, "arrdate", lambda _: False)
+            own = warehouse.summarise(load, staged, lambda _: False)
+            if month == 7:
+                results.append((key, *warehouse.check_across(load, visits, own, 1998, month)[3:]))
+                load.abandon()
+            else:
+                load.publish()
+    return spark.createDataFrame(results, "label string, passed boolean, rows_checked long, violations long")
+
+
+LATE_VERSIONS = f"""
+  SELECT CAST(event_id AS DOUBLE) AS cicid, CAST(user_id AS VARCHAR) AS i94port,
+         CAST(ts AS DATE) + CAST(delivered AS INTEGER) AS arrdate, delivered
+  FROM events JOIN customer ON c_custkey = user_id, range(0, 3) AS r(delivered)
+  WHERE event_type <> 'error' AND {KEPT} AND (delivered = 0 OR user_id % 10 = 3)
+"""
+
+
+@query(f"""
+  SELECT arrdate, count(*) AS n, CAST(sum(cicid) AS BIGINT) AS ids,
+         CAST(sum(round(avgtemperature * 100)) AS BIGINT) AS cents
+  FROM (SELECT *, row_number() OVER (PARTITION BY cicid ORDER BY delivered DESC) AS version FROM ({LATE_VERSIONS})) s
+  JOIN ({PORTS}) p ON i94port = code
+  JOIN ({EVENT_TEMPERATURES}) t ON day = arrdate AND t.city = p.city AND t.state = state_name
+  WHERE version = 1 GROUP BY arrdate
+""")
+def late_arrivals(spark, sf_dir):
+    """A month, and then corrections of a tenth of its arrivals, each in two versions that move it by a day."""
+    output = shared_folder(spark, "warehouse")
+    warehouse.run(spark, landing(spark, sf_dir), output, 2024, 1, country="view", state="12")
+    arrivals = mapped.event_arrivals(spark, sf_dir).filter(F.pmod(F.col("i94port").cast("int"), F.lit(10)) == 3)
+    versions = arrivals.withColumn("delivered", F.explode(F.array(F.lit(1), F.lit(2))))
+    late = versions.withColumns({c: F.col(c) + F.col("delivered") for c in ("arrdate", "depdate")})
+    warehouse.amend(spark, landing(spark, sf_dir, late), output, country="view", order="delivered")
+    fact = read_table(spark, output, fixed.FACT_VISITS)
+    return fact.groupBy("arrdate").agg(
+        F.count("*").alias("n"),
+        F.sum("cicid").cast("long").alias("ids"),
+        F.sum(F.round(F.col("avgtemperature") * 100).cast("long")).alias("cents"),
+    )
+
+
+def set_apart(source: str, why: str, label: str, rows: str) -> str:
+    return f"""
+  SELECT '{source}' AS source, '{why}' AS reason, {label} AS label, count(*) AS n FROM {rows} GROUP BY ALL
+"""
+
+
+EVENT_LABEL = "CAST(event_id AS VARCHAR)"
+
+
+@query(
+    " UNION ALL ".join([
+        set_apart("arrivals", "well_formed", EVENT_LABEL, "events WHERE user_id % 50 = 7"),
+        set_apart("arrivals", "date_present", EVENT_LABEL, "events WHERE user_id % 50 = 8"),
+        set_apart("arrivals", "in_period", EVENT_LABEL, "events WHERE user_id % 50 = 9"),
+        set_apart("temperatures", "well_formed", "n_name", f"({EVENT_DAYS}) WHERE day(day) = 5"),
+        set_apart("temperatures", "possible_date", "n_name",
+                  f"({EVENT_DAYS}) WHERE day(day) = 6 AND event_type = 'view'"),
+        set_apart("ports", "well_formed", "n_name", "nation"),
+    ])
+)
+def quarantined_rows(spark, sf_dir):
+    """The lines that a run over the files of ``warehouse_checks`` keeps apart, by what they are about."""
+    output = shared_folder(spark, "warehouse")
+    run_with_bad_rows(spark, sf_dir, output, only_dates=True)
+    fields = F.split("line", ",")
+    label = (
+        F.when(F.col("source") == "arrivals", F.get(fields, F.lit(0)).cast("double").cast("long").cast("string"))
+        .when(F.col("source") == "temperatures", F.upper(F.get(fields, F.lit(1))))
+        .otherwise(F.col("line"))
+    )
+    apart = read_table(spark, output, fixed.QUARANTINED)
+    return apart.groupBy("source", "reason", label.alias("label")).agg(F.count("*").alias("n"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT * FROM ({EVENT_RANKED.format(**r)})"
+        for r in [
+            dict(item="top_states", group="state_name", where="day(arrdate) <> 3", order="n", n=10),
+            dict(item="warmest_states", group="state_name", where="day(arrdate) <> 3", order="mean", n=5),
+            dict(item="top_cities", group="city", where="state = '12' AND day(arrdate) <> 3", order="n", n=5),
+        ]
+    )
+)
+def rankings_from_partials(spark, sf_dir):
+    """Rankings after a reload, from the totals by date and port that loads maintain."""
+    output = shared_folder(spark, "warehouse")
+    arrivals = mapped.event_arrivals(spark, sf_dir)
+    for rows in (arrivals, arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3)):
+        inputs = landing(spark, sf_dir, rows)
+        warehouse.run(spark, inputs, output, 2024, 1, country="view", state="12", only_dates=True)
+    named = zip(("top_states", "warmest_states", "top_cities"), warehouse.rankings(spark, output, "12"))
+    return reduce(DataFrame.unionAll, [
+        df.select(F.lit(item).alias("item"), F.col(df.columns[0]).alias("label"), F.col("count").alias("n"), F.col("avg_temperature").alias("mean"))
+        for item, df in named
+    ])
+
+
+@query(
+    " UNION ALL ".join(
+        f"""
+  SELECT '{state}' AS state, arrdate, count(*) AS n, CAST(sum(cicid) AS BIGINT) AS ids
+  FROM ({EVENT_VISITS}) WHERE {where} GROUP BY arrdate
+"""
+        for state, where in [("broken_off", "true"), ("published", "day(arrdate) <> 3"), ("settled", "day(arrdate) <> 3")]
+    )
+)
+def interrupted_reload(spark, sf_dir):
+    """What a reader sees of a month while it is loaded again: after a load is broken off, published, and put into place."""
+    output = shared_folder(spark, "warehouse")
+    arrivals = mapped.event_arrivals(spark, sf_dir)
+    how = dict(country="view", only_dates=True)
+    warehouse.run(spark, landing(spark, sf_dir, arrivals), output, 2024, 1, state="12", **how)
+    inputs = landing(spark, sf_dir, arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3))
+    seen = []
+
+    def look(state: str) -> None:
+        fact = read_table(spark, output, fixed.FACT_VISITS)
+        days = fact.groupBy("arrdate").agg(F.count("*").alias("n"), F.sum("cicid").cast("long").alias("ids"))
+        seen.append(landed(spark, days.select(F.lit(state).alias("state"), "arrdate", "n", "ids"), state))
+
+    load = Load(spark, output)
+    staged, days, _ = warehouse.stage(load, inputs, 2024, 1, **how)
+    places = warehouse.dimensions(load, inputs)
+    warehouse.fact(load, staged, places, days, 2024, 1, only_dates=True)
+    look("broken_off")
+    load.publish(settled=False)
+    look("published")
+    settle(spark, output)
+    look("settled")
+    return reduce(DataFrame.unionAll, seen)
+
+
+def content(table: str, rows: str, key: str, day: str, cents: str) -> str:
+    return f"""
+  SELECT '{table}' AS table_name, count(*) AS n, CAST(sum({key}) AS BIGINT) AS keys,
+         CAST(sum({day}) AS BIGINT) AS days, CAST(sum(round({cents} * 100)) AS BIGINT) AS cents
+  FROM {rows}
+"""
+
+
+@query(
+    " UNION ALL ".join([
+        content(fixed.STAGE_ARRIVALS, f"({EVENT_STAGE})", "cicid", "arrdate - DATE '1960-01-01'", "0"),
+        content(fixed.STAGE_TEMPERATURES, f"({EVENT_TEMPERATURES})", "length(city || state)", "day(day)", "avgtemperature"),
+        content(fixed.DIM_COUNTRIES, "customer", "c_custkey", "0", "0"),
+        content(fixed.DIM_PORTS, f"({PORTS})", "CAST(code AS BIGINT)", "length(city || state || state_name)", "0"),
+        content(fixed.DIM_DATE, f"(SELECT DISTINCT arrdate FROM ({EVENT_VISITS}))", "weekofyear(arrdate)", "arrdate - DATE '1960-01-01'", "0"),
+        content(fixed.FACT_VISITS, f"({EVENT_VISITS})", "cicid", "arrdate - DATE '1960-01-01'", "avgtemperature"),
+        content(fixed.PORT_TOTALS, f"({EVENT_VISITS})", "1", "arrdate - DATE '1960-01-01'", "avgtemperature").replace("count(*) AS n", "count(DISTINCT (i94port, arrdate)) AS n"),
+    ])
+)
+def warehouse_content(spark, sf_dir):
+    """Sums over keys, days and temperatures (in cents) of the tables of a run."""
+    output = shared_folder(spark, "warehouse")
+    warehouse.run(spark, landing(spark, sf_dir), output, 2024, 1, country="view", state="12")
+    epoch = F.lit(fixed.SERIAL_EPOCH).cast("date")
+    none = F.lit(0)
+    wide = F.length(F.concat("city", "state"))
+    sums = {
+        fixed.STAGE_ARRIVALS: ("cicid", F.col("arrdate"), none),
+        fixed.STAGE_TEMPERATURES: (wide, F.col("day"), F.col("avgtemperature")),
+        fixed.DIM_COUNTRIES: ("code", none, none),
+        fixed.DIM_PORTS: (F.col("code").cast("long"), wide + F.length("state_name"), none),
+        fixed.DIM_DATE: ("week", F.date_diff("arrdate", epoch), none),
+        fixed.FACT_VISITS: ("cicid", F.date_diff("arrdate", epoch), F.col("avgtemperature")),
+        fixed.PORT_TOTALS: ("visits", F.date_diff("arrdate", epoch) * F.col("visits"), F.col("total")),
+    }
+
+    def summed(name: str) -> DataFrame:
+        key, day, cents = sums[name]
+        return read_table(spark, output, name).agg(
+            F.count("*").alias("n"), F.sum(key).cast("long").alias("keys"), F.sum(day).cast("long").alias("days"),
+            F.sum(F.round(cents * 100).cast("long")).alias("cents"),
+        ).select(F.lit(name).alias("table_name"), "n", "keys", "days", "cents")
+
+    return reduce(DataFrame.unionAll, [summed(name) for name in sums])

@@ -1,26 +1,44 @@
-"""The batch job: stage, dimensions, fact, checks and rankings."""
+"""The batch job: stage, dimensions, fact, checks and rankings.
 
-from collections.abc import Collection
+All of a run is one load (``landfall.sources.loads``): readers see the warehouse as it was until the
+run has passed its checks, and then all of what it wrote.
+"""
+
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
+from math import floor
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from landfall import fixed
-from landfall.functions import period_serials, serial_in_period
+from landfall.functions import date_from_parts, period_serials, sas_date, serial_in_period
 from landfall.operators import (
     build_visits,
+    cells_for,
     code_list,
     date_dim,
     distinct_where_repeated,
     keep_arrivals,
+    keep_present,
     known_ports,
+    latest,
+    malformed_lines,
+    merged,
+    met_cells,
     port_coverage,
     port_rejects,
+    port_totals,
     ports_dim,
+    quarantined,
+    rank_totals,
+    reason,
     repeated_values,
+    replaced,
     stage_temperatures,
-    visits_by,
+    summarise_keys,
+    suspects,
     well_formed_port,
 )
 from landfall.operators.quality import (
@@ -33,25 +51,31 @@ from landfall.operators.quality import (
     possible_date,
     raise_on_failure,
     report,
+    verdict,
     well_formed,
 )
 from landfall.sources import (
-    empty_keys,
+    Load,
+    exists,
+    partitions_of,
     read_arrivals,
     read_lines,
+    read_table,
     read_temperatures,
+    settle,
     shared_folder,
-    write_by_date,
     write_table,
-    written_keys,
 )
 from landfall.sources.readers import MALFORMED
 
-# Up to this many rows (some tens of MB in memory) a table is broadcast to every executor.
+# Up to this many rows, and this size as Spark estimates it, a table is broadcast to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 << 20
 
-# Where the visits of a month stand until they are checked.
-UNCHECKED = f"{fixed.FACT_VISITS}_unchecked"
+# Tables that may be empty, and then have no file to tell their types.
+TOTALS = "i94port string, total decimal(38,10), measured long, visits long, arrdate date"
+PLACES = "code string, city string, state string, state_name string"
+SUMMARY = "cells long, bucket long, bits binary, low double, high double, month string"
 
 # Names that the checks of input files go by.
 ARRIVALS, TEMPERATURES, PORTS = "arrivals", "temperatures", "ports"
@@ -90,14 +114,18 @@ class Outcome:
     top_cities: DataFrame
 
 
-def distinct_arrivals(spark: SparkSession, kept: DataFrame) -> DataFrame:
+def distinct_arrivals(
+    spark: SparkSession, kept: DataFrame, counted: DataFrame | None = None, folder: str | None = None
+) -> DataFrame:
     """The distinct rows of columnar files, without shuffling those that cannot have a copy.
 
     A first pass reads little more than ``cicid``, which is nearly unique, and writes its
-    repeated values to the shared folder. Only rows with one of these are compared as a whole.
-    If the values are too many to broadcast, all rows are.
+    repeated values to ``folder`` (else to the shared one). Only rows with one of these are compared as a whole.
+    If the values are too many to broadcast, all rows are. The first pass reads ``counted`` where that is given: the same rows,
+    under observation.
     """
-    repeated = write_table(repeated_values(kept, "cicid"), shared_folder(spark, "repeated"), "cicid")
+    folder = folder or shared_folder(spark, "repeated")
+    repeated = write_table(repeated_values(kept if counted is None else counted, "cicid"), folder, "cicid")
     number = repeated.count()
     if number == 0:
         return kept
@@ -113,10 +141,23 @@ def _readable(rows: DataFrame) -> Check:
     return well_formed(MALFORMED, F.col(MALFORMED).isNotNull() & (F.length(fields) >= 0))
 
 
+def _arrival_checks(year: int, month: int) -> list[Check]:
+    whole = ~F.isnan("arrdate") & (F.col("arrdate") != 0)
+    return [
+        Check("in_period", "arrdate", whole & ~serial_in_period("arrdate", year, month)),
+        Check("date_present", "arrdate", ~F.coalesce(whole, F.lit(False))),
+    ]
+
+
+def _temperature_checks(daily: DataFrame, country: str) -> list[Check]:
+    dates = possible_date("year", "month", "day")
+    return [_readable(daily), Check(dates.name, dates.column, (F.col("country") == country) & dates.violates)]
+
+
 def check_inputs(
     spark: SparkSession, inputs: Inputs, year: int, month: int, country: str = "US"
 ) -> DataFrame:
-    """The checks of the input files, as rows; one pass over each file.
+    """The checks of the input files by themselves, as rows; one pass over each file. ``run`` makes them as it reads.
 
     They count what later steps would leave out: CSV rows that do not fit their types, port
     lines that cannot be read, arrivals of other months or without a date, and temperatures of the country
@@ -124,77 +165,147 @@ def check_inputs(
     """
     csv = inputs.arrivals_format == "csv"
     arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode, csv)
-    whole = ~F.isnan("arrdate") & (F.col("arrdate") != 0)
-    on_arrivals = [
-        Check("in_period", "arrdate", whole & ~serial_in_period("arrdate", year, month)),
-        Check("date_present", "arrdate", ~F.coalesce(whole, F.lit(False))),
-    ]
-    if csv:
-        on_arrivals.append(_readable(arrivals))
+    on_arrivals = _arrival_checks(year, month) + ([_readable(arrivals)] if csv else [])
     daily = read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True)
-    dates = possible_date("year", "month", "day")
-    of_country = Check(dates.name, dates.column, (F.col("country") == country) & dates.violates)
-    on_daily = [_readable(daily), of_country]
     lines = read_lines(spark, inputs.ports)
     return (
         report(arrivals, ARRIVALS, on_arrivals)
-        .unionAll(report(daily, TEMPERATURES, on_daily))
+        .unionAll(report(daily, TEMPERATURES, _temperature_checks(daily, country)))
         .unionAll(report(lines, PORTS, [well_formed("value", ~well_formed_port())]))
     )
 
 
-def _sound(rows: DataFrame) -> DataFrame:
-    """The rows of a text source that could be read; ``check_inputs`` counts the others."""
-    if MALFORMED not in rows.columns:
-        return rows
-    return rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+def _observed(rows: DataFrame, name: str, checks: Sequence[Check]) -> tuple[DataFrame, Callable[[], list[Row]]]:
+    """The rows, and their checks once they have been read: counted on the way, without a pass of their own.
+
+    A task that is done twice, as after a lost executor, may count twice; a count of none is always right.
+    """
+    seen = Observation(name)
+    counts = [F.count_if(c.violates).alias(f"violations_{i}") for i, c in enumerate(checks)]
+
+    def results() -> list[Row]:
+        found = seen.get
+        return [verdict(c, name, found["rows_checked"], found[f"violations_{i}"]) for i, c in enumerate(checks)]
+
+    return rows.observe(seen, F.count("*").alias("rows_checked"), *counts), results
+
+
+def _sorted(
+    load: Load, rows: DataFrame, name: str, checks: Sequence[Check], apart: Collection[str], wanted: Column
+) -> tuple[DataFrame, DataFrame, list[Row]]:
+    """One pass over a CSV source: its ``wanted`` rows, the rows kept apart with their reason, and its checks.
+
+    Rows that violate a check named in ``apart`` are kept apart.
+    """
+    reasons = {c.name: c.violates for c in checks if c.name in apart}
+    observed, results = _observed(rows.withColumn("reason", reason(reasons)), name, checks)
+    once = load.scratch(observed.filter(F.col("reason").isNotNull() | wanted), name)
+    good = once.filter(F.col("reason").isNull()).drop("reason", MALFORMED)
+    return good, quarantined(once.filter(F.col("reason").isNotNull()), name, MALFORMED), results()
+
+
+def month_name(year: int, month: int) -> str:
+    return f"{year:04d}-{month:02d}"
+
+
+def _value(kind: Callable, text: str):
+    """A partition's value, None for the null partition."""
+    try:
+        return kind(text)
+    except ValueError:
+        return None
+
+
+def _serials_of(year: int, month: int, only_dates: bool) -> Callable[[str], bool] | None:
+    """Which partitions of the stage a load of a month replaces."""
+    if not only_dates:
+        return None
+    first, after = period_serials(year, month)
+    return lambda text: (day := _value(float, text)) is not None and first <= day < after
+
+
+def _dates_of(year: int, month: int, only_dates: bool) -> Callable[[str], bool] | None:
+    """Which partitions of the fact a load of a month replaces."""
+    if not only_dates:
+        return None
+    return lambda text: (day := _value(date.fromisoformat, text)) is not None and (day.year, day.month) == (year, month)
+
+
+def _this_month(year: int, month: int, only_dates: bool) -> Callable[[str], bool] | None:
+    return (lambda text: text == month_name(year, month)) if only_dates else None
 
 
 def stage(
-    spark: SparkSession,
+    load: Load,
     inputs: Inputs,
-    output: str,
     year: int,
     month: int,
     country: str = "US",
     only_dates: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Write both staging tables and return them, arrivals and temperatures.
+    allowed: Collection[tuple[str, str]] = ALLOWED,
+) -> tuple[DataFrame, DataFrame, list[Row]]:
+    """Read the arrivals and temperatures, check them and write both staging tables: these, and the checks.
 
-    With ``only_dates``, the month is replaced and other months are left alone: arrivals
-    outside the month are left out, and dates of the month that it no longer has are emptied.
+    Each CSV file is read once: its checks are counted as it is read, and bad rows go to the table of quarantined rows. Of
+    Parquet arrivals a few columns are read to count and to find repeated keys, and then the rows. With
+    ``only_dates``, the month is replaced and other months are left alone: arrivals outside the month are left
+    out, and are quarantined too. A check that fails and is not ``allowed`` raises ValueError before anything is staged.
     """
-    csv = inputs.arrivals_format == "csv"
-    arrivals = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode, csv)
-    arrivals = _sound(arrivals)
-    if only_dates:
-        arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
-    kept = keep_arrivals(arrivals, known_ports(read_lines(spark, inputs.ports)))
-    staged = kept.distinct() if csv else distinct_arrivals(spark, kept)
-    if only_dates:
-        at = (spark, output, fixed.STAGE_ARRIVALS, staged.schema)
-        empty_keys(*at, written_keys(*at, *period_serials(year, month)))
-    staged = write_by_date(staged, output, fixed.STAGE_ARRIVALS, only_dates=only_dates)
-    raw = _sound(read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True))
-    daily = stage_temperatures(raw, country, year, month)
-    return staged, write_table(daily, output, fixed.STAGE_TEMPERATURES)
-
-
-def dimensions(
-    spark: SparkSession, inputs: Inputs, output: str, state_parse: str = "exact"
-) -> DataFrame:
+    spark, csv = load.spark, inputs.arrivals_format == "csv"
+    raw = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode, csv)
+    lines = read_lines(spark, inputs.ports)
+    codes = known_ports(lines)
+    checks = _arrival_checks(year, month)
+    outside = {c.name for c in checks} if only_dates else set()
+    bad = []
+    if csv:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fixed.REQUIRED_COLUMNS])
+        checks.append(_readable(raw))
+        arrivals, apart, results = _sorted(load, raw, ARRIVALS, checks, {"well_formed"} | outside, present)
+        staged = distinct_arrivals(spark, keep_arrivals(arrivals, codes), folder=f"{load.folder}/scratch/repeated")
+        bad.append(apart)
+    else:
+        inside = serial_in_period("arrdate", year, month) if only_dates else F.lit(True)
+        kept = keep_arrivals(raw.filter(inside), codes)
+        few = raw.select(*dict.fromkeys(["cicid", "i94port", "arrdate", *fixed.REQUIRED_COLUMNS]))
+        observed, seen = _observed(few, ARRIVALS, checks)
+        # No join stands above what is counted: one with an empty side would not read its other side at all.
+        counted = keep_present(observed.filter(inside), fixed.REQUIRED_COLUMNS)
+        staged = distinct_arrivals(spark, kept, counted, f"{load.folder}/scratch/repeated")
+        results = seen()
+        apart = [c for c in checks if c.name in outside]
+        if any(r.violations for r in results) and apart:
+            named = raw.withColumn("reason", reason({c.name: c.violates for c in apart}))
+            bad.append(quarantined(named.filter(F.col("reason").isNotNull()), ARRIVALS))
+    measured = read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True)
+    of_month = (F.col("country") == country) & (F.col("year") == year) & (F.col("month") == month)
+    on_days = _temperature_checks(measured, country)
+    days, apart, found = _sorted(load, measured, TEMPERATURES, on_days, {c.name for c in on_days}, of_month)
+    bad.append(apart)
+    bad.append(quarantined(malformed_lines(lines).withColumn("reason", F.lit("well_formed")), PORTS, "value"))
+    results = results + found + report(lines, PORTS, [well_formed("value", ~well_formed_port())]).collect()
+    raise_on_failure(results, allowed)
+    staged = load.write(staged, fixed.STAGE_ARRIVALS, "arrdate", _serials_of(year, month, only_dates))
+    daily = load.write(stage_temperatures(days, country, year, month), fixed.STAGE_TEMPERATURES)
+    apart = reduce(DataFrame.unionAll, bad).withColumn("month", F.lit(month_name(year, month)))
+    load.write(apart, fixed.QUARANTINED, "month", _this_month(year, month, only_dates))
+    return staged, daily, results
+
+
+def dimensions(load: Load, inputs: Inputs, state_parse: str = "exact") -> DataFrame:
     """Write the four dimensions that come from lookup files, and the ports left out. Returns the ports."""
+    spark = load.spark
     countries = code_list(
         read_lines(spark, inputs.countries), fixed.JUNK_COUNTRIES, fixed.OTHER_COUNTRIES
     )
-    write_table(countries, output, fixed.DIM_COUNTRIES)
+    load.write(countries, fixed.DIM_COUNTRIES)
     modes = code_list(read_lines(spark, inputs.travel_modes))
-    write_table(modes, output, fixed.DIM_TRAVEL_MODES)
+    load.write(modes, fixed.DIM_TRAVEL_MODES)
     visas = code_list(read_lines(spark, inputs.visas))
-    write_table(visas, output, fixed.DIM_VISAS)
+    load.write(visas, fixed.DIM_VISAS)
     lines, states = read_lines(spark, inputs.ports), read_lines(spark, inputs.states)
-    write_table(port_rejects(lines, states, state_parse), output, fixed.REJECTED_PORTS)
-    return write_table(ports_dim(lines, states, state_parse), output, fixed.DIM_PORTS)
+    load.write(port_rejects(lines, states, state_parse), fixed.REJECTED_PORTS)
+    return load.write(ports_dim(lines, states, state_parse), fixed.DIM_PORTS)
 
 
 def check_before_joins(temperatures: DataFrame, ports: DataFrame) -> DataFrame:
@@ -205,23 +316,26 @@ def check_before_joins(temperatures: DataFrame, ports: DataFrame) -> DataFrame:
     )
 
 
-def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The table with a hint, if a count, which Parquet answers from its footers, allows it."""
+def _broadcast_if_small(df: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """The table with a hint, if its size and a count, which Parquet answers from its footers, allow it."""
     automatic = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    small = not automatic.startswith("-") and df.count() <= BROADCAST_ROWS
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = not automatic.startswith("-") and size <= most and df.count() <= BROADCAST_ROWS
     return (F.broadcast(df) if small else df), small
 
 
 def fact(
-    output: str,
+    load: Load,
     arrivals: DataFrame,
     ports: DataFrame,
     temperatures: DataFrame,
     year: int,
     month: int,
     lenient_dates: bool = False,
+    only_dates: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Write the month's visits beside the fact, to be checked there, and return them.
+    """Write the month's visits, to be checked before they are published, and return them.
 
     The temperatures hold one month only, so other arrival dates could not join and are not
     read. Ports and temperatures are broadcast, each by its own size, if that is small. If both
@@ -229,12 +343,13 @@ def fact(
     visits need no gathering either.
     """
     arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
-    ports, few_ports = _broadcast_if_small(ports)
-    temperatures, few_days = _broadcast_if_small(temperatures)
+    ports, few_ports = _broadcast_if_small(ports, broadcast_bytes)
+    temperatures, few_days = _broadcast_if_small(temperatures, broadcast_bytes)
     coverage = port_coverage(arrivals, ports, temperatures, lenient_dates)
-    write_table(coverage, output, fixed.PORT_COVERAGE)
+    load.write(coverage, fixed.PORT_COVERAGE)
     visits = build_visits(arrivals, ports, temperatures, lenient_dates)
-    return write_by_date(visits, output, UNCHECKED, gather=not (few_ports and few_days))
+    gather = not (few_ports and few_days)
+    return load.write(visits, fixed.FACT_VISITS, "arrdate", _dates_of(year, month, only_dates), gather)
 
 
 def check(visits: DataFrame, year: int, month: int) -> DataFrame:
@@ -249,24 +364,144 @@ def check(visits: DataFrame, year: int, month: int) -> DataFrame:
     return report(visits, fixed.FACT_VISITS, checks, key=["cicid"])
 
 
-def publish(output: str, visits: DataFrame, year: int, month: int, only_dates: bool = False) -> DataFrame:
-    """Put checked visits into the fact, renew the date dimension and return the fact.
+NO_MONTH = "none"
+
+
+def _staged_months(staged: DataFrame) -> DataFrame:
+    month = F.date_format(sas_date("arrdate"), "yyyy-MM")
+    return staged.withColumn("month", F.coalesce(month, F.lit(NO_MONTH)))
+
+
+def summarise(load: Load, staged: DataFrame, replaces: Callable[[str], bool] | None) -> DataFrame:
+    """Write the summary of the keys that each month's staged arrivals have, and return it."""
+    summary = summarise_keys(_staged_months(staged), "cicid", cells_for(staged.count()))
+    return load.write(summary, fixed.KEY_SUMMARIES, "month", replaces)
+
+
+def _ranges(names: Collection[str]) -> list[tuple[date, date]]:
+    firsts = [date.fromisoformat(f"{name}-01") for name in sorted(names) if name != NO_MONTH]
+    return [(d, date(d.year + d.month // 12, d.month % 12 + 1, 1)) for d in firsts]
+
+
+def _in_months(names: Collection[str]) -> Column:
+    """True for a visit of one of the months; ranges of dates, so that partitions are pruned by it."""
+    ranges = [(F.col("arrdate") >= first) & (F.col("arrdate") < after) for first, after in _ranges(names)]
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))
+
+
+def _staged_in_months(names: Collection[str]) -> Column:
+    """True for a staged arrival of one of the months; ranges of serials, so that partitions are pruned by it."""
+    ranges = [serial_in_period("arrdate", first.year, first.month) for first, _ in _ranges(names)]
+    if NO_MONTH in names:
+        ranges.append(F.col("arrdate").isNull() | F.isnan("arrdate") | (F.col("arrdate") == 0))
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))
+
+
+def _months_of(spark: SparkSession, root: str, table: str, value: Callable[[str], date | None]) -> set[str]:
+    """The months that a table's partitions have."""
+    days = [value(p.split("=", 1)[1]) for p in partitions_of(spark, f"{root}/{table}")]
+    return {NO_MONTH if d is None else month_name(d.year, d.month) for d in days}
+
+
+def _fact_day(text: str) -> date | None:
+    return _value(date.fromisoformat, text)
+
 
-    The visits already lie by date, so they are written as read. With ``only_dates``, dates of the month
-    that it no longer has are emptied. What stood beside the fact is emptied as well.
+def _stage_day(text: str) -> date | None:
+    serial = _value(float, text)
+    if not serial or serial != serial:
+        return None
+    return date.fromisoformat(fixed.SERIAL_EPOCH) + timedelta(days=floor(serial))
+
+
+def _summaries(load: Load, months: Collection[str]) -> DataFrame:
+    """The summaries of these months of the stage; those that are missing are made."""
+    spark, root = load.spark, load.root
+    have = {p.split("=", 1)[1] for p in partitions_of(spark, f"{root}/{fixed.KEY_SUMMARIES}")}
+    found = []
+    if have:
+        old = read_table(spark, root, fixed.KEY_SUMMARIES, SUMMARY)
+        found.append(old.filter(F.col("month").isin(list(months))))
+    missing = set(months) - have
+    if missing:
+        staged = read_table(spark, root, fixed.STAGE_ARRIVALS).filter(_staged_in_months(missing))
+        summary = summarise_keys(_staged_months(staged), "cicid", cells_for(staged.count()))
+        found.append(load.scratch(summary, "missing-summaries"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def months_with_keys(
+    load: Load, rows: DataFrame, own: DataFrame, months: Collection[str]
+) -> tuple[list[str], DataFrame | None]:
+    """Of the ``months`` of the stage those that may hold keys of ``rows``, and the suspects there: ``month, cicid``.
+
+    ``own`` is a summary that has all keys of the rows. Only summaries are read.
     """
-    spark, schema = visits.sparkSession, visits.schema
-    if only_dates:
-        first, after = date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
-        old = written_keys(spark, output, fixed.FACT_VISITS, schema, first, after)
-        new = written_keys(spark, output, UNCHECKED, schema, first, after)
-    done = write_by_date(visits, output, fixed.FACT_VISITS, gather=False, only_dates=only_dates)
-    if only_dates:
-        empty_keys(spark, output, fixed.FACT_VISITS, schema, sorted(set(old) - set(new)))
-        done = spark.read.schema(schema).parquet(f"{output}/{fixed.FACT_VISITS}")
-    write_table(date_dim(done), output, fixed.DIM_DATE)
-    write_table(spark.createDataFrame([], schema), output, UNCHECKED)
-    return done
+    if not months:
+        return [], None
+    theirs = _summaries(load, months)
+    sizes = [r.cells for r in theirs.select("cells").distinct().collect()]  # powers of two
+    own_cells = own.agg(F.max("cells")).first()[0]
+    if own_cells is None or not sizes:
+        return [], None
+    met = load.scratch(met_cells(own, theirs, own_cells, sizes), "met-cells")
+    found = [r.month for r in met.select("month").distinct().collect()]  # months
+    if not found:
+        return [], None
+    cells = {min(size, own_cells) for size in sizes}
+    return found, load.scratch(suspects(rows, "cicid", met, cells).distinct(), "suspects")
+
+
+def check_across(load: Load, visits: DataFrame, own: DataFrame, year: int, month: int) -> Row:
+    """The check that no other month of the fact has a key of this month's visits.
+
+    Its violations are the visits whose key another month has. Of other months only the keys are read, and only of
+    those months that summaries leave in doubt.
+    """
+    spark, root = load.spark, load.root
+    months = _months_of(spark, root, fixed.FACT_VISITS, _fact_day) - {month_name(year, month)}
+    found, named = months_with_keys(load, visits, own, months)
+    violations = 0
+    if found:
+        old = read_table(spark, root, fixed.FACT_VISITS, visits.schema).filter(_in_months(found)).select("cicid", "arrdate")
+        old = old.withColumn("month", F.date_format("arrdate", "yyyy-MM"))
+        shared = old.join(named, ["month", "cicid"], "left_semi").select("cicid").distinct()
+        violations = visits.join(shared, "cicid", "left_semi").count()
+    return verdict(Check("unique_across_months", "cicid", F.lit(True)), fixed.FACT_VISITS, visits.count(), violations)
+
+
+def publish(load: Load, visits: DataFrame, replaces: Callable[[str], bool] | None) -> DataFrame:
+    """Renew the date dimension and the totals by port, publish the load and return the fact."""
+    spark, root = load.spark, load.root
+    totals = port_totals(visits, "arrdate")
+    if replaces is not None:
+        # Dates from before there were totals.
+        days = partitions_of(spark, f"{root}/{fixed.FACT_VISITS}")
+        have = set(partitions_of(spark, f"{root}/{fixed.PORT_TOTALS}"))
+        missing = [d for p in days if p not in have and (d := p.split("=", 1)[1]) and not replaces(d)]
+        if missing:
+            old = read_table(spark, root, fixed.FACT_VISITS, visits.schema)
+            old = old.filter(F.col("arrdate").isin([date.fromisoformat(d) for d in missing]))
+            totals = totals.unionByName(port_totals(old, "arrdate"))
+    load.write(totals, fixed.PORT_TOTALS, "arrdate", replaces)
+    # The fact's partitions are its dates, so none of its files is opened for them.
+    dates = [(_fact_day(p.split("=", 1)[1]),) for p in load.partitions(fixed.FACT_VISITS)]
+    load.write(date_dim(spark.createDataFrame(dates, "arrdate date").coalesce(1)), fixed.DIM_DATE)
+    load.publish()
+    return read_table(spark, root, fixed.FACT_VISITS, visits.schema)
+
+
+def rankings(spark: SparkSession, output: str, state: str = "CA") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Top states by visits, warmest states, and top cities of a state, from the totals by date and port.
+
+    The totals are exact decimals and renewed with each load, so the fact is not scanned.
+    """
+    totals, ports = read_table(spark, output, fixed.PORT_TOTALS, TOTALS), read_table(spark, output, fixed.DIM_PORTS, PLACES)
+    return (
+        rank_totals(totals, ports, "state_name", "count", 10),
+        rank_totals(totals, ports, "state_name", "avg_temperature", 5),
+        rank_totals(totals, ports, "city", "count", 5, state),
+    )
 
 
 def run(
@@ -281,29 +516,105 @@ def run(
     lenient_dates: bool = False,
     state_parse: str = "exact",
     allowed: Collection[tuple[str, str]] = ALLOWED,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> Outcome:
     """Build the warehouse of a month under ``output``, check it and rank its visits.
 
     A failed check raises ValueError unless ``allowed`` names it: those of the inputs before
-    anything is written, those of the joined tables before the join, those of the visits
+    anything is staged, those of the joined tables before the join, those of the visits
     before they are published. Rows that the job leaves out are all counted, by a check or in the tables
-    ``rejected_us_ports`` and ``port_coverage``.
+    ``rejected_us_ports`` and ``port_coverage``; those that cannot be read or have no place stand in ``quarantined_rows``.
+    Nothing is seen by readers before all checks have passed, and then all of it; a run that fails leaves nothing behind, and
+    what one leaves that is broken off is put right by the next.
 
-    ``only_dates`` replaces the month in a warehouse that holds others. ``lenient_dates`` leaves
-    out temperatures whose parts are no date, and counts them. ``state_parse`` is that of ``ports_dim``.
+    ``only_dates`` replaces the month in a warehouse that holds others, whose keys the month's visits must not have.
+    ``lenient_dates`` leaves out temperatures whose parts are no date, and counts them. ``state_parse`` is that of ``ports_dim``.
+    Ports and temperatures larger than ``broadcast_bytes`` are not broadcast.
     """
     skipped = {("possible_date", TEMPERATURES)} if lenient_dates else set()
     allowed = set(allowed) | skipped
-    checks = raise_on_failure(check_inputs(spark, inputs, year, month, country), allowed)
-    arrivals, temperatures = stage(spark, inputs, output, year, month, country, only_dates)
-    ports = dimensions(spark, inputs, output, state_parse)
-    checks += raise_on_failure(check_before_joins(temperatures, ports), allowed)
-    visits = fact(output, arrivals, ports, temperatures, year, month, lenient_dates)
-    checks += raise_on_failure(check(visits, year, month), allowed)
-    visits = publish(output, visits, year, month, only_dates)
-    return Outcome(
-        checks=checks,
-        top_states=visits_by(visits, ports, "state_name", "count", 10),
-        warmest_states=visits_by(visits, ports, "state_name", "avg_temperature", 5),
-        top_cities=visits_by(visits, ports, "city", "count", 5, state),
-    )
+    settle(spark, output)
+    load = Load(spark, output)
+    try:
+        arrivals, temperatures, checks = stage(load, inputs, year, month, country, only_dates, allowed)
+        ports = dimensions(load, inputs, state_parse)
+        checks += raise_on_failure(check_before_joins(temperatures, ports), allowed)
+        visits = fact(load, arrivals, ports, temperatures, year, month, lenient_dates, only_dates, broadcast_bytes)
+        checks += raise_on_failure(check(visits, year, month), allowed)
+        own = summarise(load, arrivals, _this_month(year, month, only_dates))
+        if only_dates and exists(spark, f"{output}/{fixed.FACT_VISITS}"):
+            checks += raise_on_failure([check_across(load, visits, own, year, month)], allowed)
+        publish(load, visits, _dates_of(year, month, only_dates))
+    except BaseException:
+        load.abandon()
+        raise
+    return Outcome(checks, *rankings(spark, output, state))
+
+
+def _add_to_summaries(load: Load, late: DataFrame) -> None:
+    """Add the keys to the summaries of their months. Keys that have left a month stay in its summary, as suspects only."""
+    late = _staged_months(late)
+    months = [r.month for r in late.select("month").distinct().collect()]  # months
+    have = {p.split("=", 1)[1] for p in partitions_of(load.spark, f"{load.root}/{fixed.KEY_SUMMARIES}")}
+    old = read_table(load.spark, load.root, fixed.KEY_SUMMARIES, SUMMARY).filter(F.col("month").isin(months)) if have else None
+    most = (old.agg(F.max("cells")).first()[0] if have else None) or 0
+    new = summarise_keys(late, "cicid", max(most, cells_for(late.count())))
+    load.write(merged(old, new) if have else new, fixed.KEY_SUMMARIES, "month", lambda text: text in months)
+
+
+def amend(
+    spark: SparkSession,
+    inputs: Inputs,
+    output: str,
+    country: str = "US",
+    state: str = "CA",
+    order: str | None = None,
+    lenient_dates: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> Outcome:
+    """Put late and corrected arrivals of any month into the warehouse: of each ``cicid`` the latest version stays.
+
+    ``inputs.arrivals`` are what was delivered late. They replace arrivals of the same key wherever these stand; of several
+    versions of one key that of greatest ``order`` (a column of the input) counts. A late arrival without what staging asks for
+    replaces nothing. Only the dates that lose or gain a row are written anew, in the stage and in the fact; files of other dates stay as they
+    are. Summaries of keys tell which months can hold a key at all, and only these are searched.
+    """
+    settle(spark, output)
+    load = Load(spark, output)
+    try:
+        raw = read_arrivals(spark, inputs.arrivals, inputs.arrivals_format, inputs.csv_mode)
+        late = keep_arrivals(raw, known_ports(read_lines(spark, inputs.ports)))
+        late = late.filter(sas_date("arrdate").isNotNull() & F.col("cicid").isNotNull())
+        staged = read_table(spark, output, fixed.STAGE_ARRIVALS)
+        late = load.scratch(latest(late, "cicid", order).select(*staged.columns), "late")
+        own = summarise_keys(late.withColumn("month", F.lit("late")), "cicid", cells_for(late.count()))
+        months = _months_of(spark, output, fixed.STAGE_ARRIVALS, _stage_day)
+        found, named = months_with_keys(load, late, load.scratch(own, "late-keys"), months)
+        held = late.select("arrdate")
+        if found:
+            old = _staged_months(staged.filter(_staged_in_months(found)).select("cicid", "arrdate"))
+            held = held.unionAll(old.join(named, ["month", "cicid"], "left_semi").select("arrdate"))
+        serials = [r.arrdate for r in held.distinct().collect()]  # dates that lose or gain a row
+        known = [d for d in serials if d is not None]
+        of_these = F.col("arrdate").isin(known) | (F.col("arrdate").isNull() & F.lit(None in serials))
+        rows = replaced(staged.filter(of_these), late, "cicid")
+        rows = load.write(rows, fixed.STAGE_ARRIVALS, "arrdate", lambda text: _value(float, text) in serials)
+        dates = {d for d in map(_stage_day, map(str, known)) if d is not None}
+        measured = read_temperatures(spark, inputs.temperatures, inputs.csv_mode, malformed=True)
+        measured = measured.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        measured = stage_temperatures(measured.filter(F.col("country") == country), country)
+        day = date_from_parts("year", "month", "day", lenient=True)
+        measured = load.scratch(measured.filter(day.isin(sorted(dates))), "temperatures")
+        measured, few_days = _broadcast_if_small(measured, broadcast_bytes)
+        ports = read_table(spark, output, fixed.DIM_PORTS)
+        checks = raise_on_failure(check_before_joins(measured, ports))
+        ports, few_ports = _broadcast_if_small(ports, broadcast_bytes)
+        visits = build_visits(rows, ports, measured, lenient_dates)
+        visits = load.write(visits, fixed.FACT_VISITS, "arrdate", lambda text: _fact_day(text) in dates, not (few_ports and few_days))
+        checks += raise_on_failure(report(visits, fixed.FACT_VISITS, [date_present("arrdate")], key=["cicid"]))
+        _add_to_summaries(load, late)
+        publish(load, visits, lambda text: _fact_day(text) in dates)
+    except BaseException:
+        load.abandon()
+        raise
+    return Outcome(checks, *rankings(spark, output, state))

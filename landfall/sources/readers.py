@@ -1,5 +1,4 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 # The text of a CSV row that does not fit its types. The name is Spark's own for it: where it is
 # asked for, all columns are parsed, so a bad field counts even if nothing else reads it.
@@ -71,11 +70,3 @@ def read_temperatures(
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of a text file that are not blank, in a column ``value``."""
     return spark.read.text(path).filter(F.col("value").rlike(r"\S"))
-
-
-def read_table(
-    spark: SparkSession, root: str, name: str, schema: StructType | None = None
-) -> DataFrame:
-    """A table of the warehouse. A schema pins the types, those of partition keys too."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root}/{name}")
