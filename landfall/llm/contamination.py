@@ -3,16 +3,17 @@
 An item is found in a document that has at least ``share`` (0.8) of the item's distinct shingles of five
 words. Documents may be far longer than items, so it is containment that counts and not
 resemblance. Items are partitioned by their number of shingles, in powers of two, and every item
-keeps a bottom-k MinHash sketch whose k belongs to its partition: with at most u shingles there and
+keeps a bottom-k sketch whose k belongs to its partition: with at most u shingles there and
 share s, any ``u - ceil(s * u) + 1`` of an item's shingles have one in every document that holds it.
-So the sketch misses nothing, and of an item about a fifth of the shingles is searched for. All shingles of
-all documents are looked up in the sketches; what is met is a candidate, and its shingles themselves are
-then compared.
+So the sketch misses nothing, and of an item about a fifth of the shingles is searched for. Which fifth is
+free: the sketch takes the shingles that the fewest documents have, and of these the least hashes, so a phrase that
+items and documents have in common makes no candidates. All shingles of all documents are looked up once among
+those of the items; what meets a sketch is a candidate, and its shingles themselves are then compared.
 
 Words are what stands between blanks, in lower case. An item of fewer words than a shingle has one shingle, all
-of it, and so has a document. Null and empty texts have none, and are never found. Rows of one
-``doc_id`` are one document, rows of one ``item_id`` one item, a null id is an id. Further columns are ignored.
-Repeats within a text count once.
+of it, and is looked up among the document's shingles of as many words. Null and empty texts have none, and are never found. Rows of one
+``doc_id`` are one document, rows of one ``item_id`` one item (of rows with fewer words than a shingle too), a null id is an id.
+Further columns are ignored. Repeats within a text count once.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -31,28 +32,48 @@ def word_list(text: str = "text"):
     return F.filter(words, lambda w: w != "")
 
 
-def shingle_hashes(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """``key, h``: a hash of each shingle of each row, repeats included."""
-    hashed = rows.select(key, F.transform(word_list(), lambda w: F.xxhash64(w)).alias("w")).filter(F.size("w") > 0)
+def _sized(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """``key, w, k``: the words of items and the length of their shingles, fewer than ``size`` for a short one."""
+    words = rows.select(key, word_list().alias("w")).filter(F.size("w") > 0)
+    return words.withColumn("k", F.least(F.size("w"), F.lit(size)))
+
+
+def lengths(items: DataFrame, size: int = WORDS) -> list[int]:
+    """The lengths of shingles that items have, ``size`` and those of short items."""
+    return sorted(r.k for r in _sized(items, "item_id", size).select("k").distinct().collect())
+
+
+def _hashes(k: int):
     at = lambda i, j: F.get(F.col("w"), i + j)
-    every = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(*[at(i, j) for j in range(size)]))
-    # A short row's shingle is hashed over the list, which is no shingle's hash.
-    return hashed.select(key, F.explode(F.when(F.size("w") >= size, every).otherwise(F.array(F.xxhash64("w")))).alias("h"))
+    return F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: F.xxhash64(*[at(i, j) for j in range(k)]))
 
 
-def shingle_texts(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """``key, s``: the distinct shingles of each key."""
-    words = rows.select(key, word_list().alias("w")).filter(F.size("w") > 0)
-    every = F.transform(F.sequence(F.lit(1), F.size("w") - size + 1), lambda i: F.concat_ws(" ", F.slice("w", i, size)))
-    return words.select(key, F.explode(F.when(F.size("w") >= size, every).otherwise(F.array(F.concat_ws(" ", "w")))).alias("s")).distinct()
+def _texts(k: int):
+    return F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), lambda i: F.concat_ws(" ", F.slice("w", i, k)))
+
+
+def _of_length(rows: DataFrame, key: str, sizes: list[int], shingles, hashed: bool, own: bool) -> DataFrame:
+    """``key`` and every shingle of these lengths, repeats included; only of the row's ``own`` length for items."""
+    name = "h" if hashed else "s"
+    words = _sized(rows, key, max(sizes, default=WORDS))
+    if hashed:
+        words = words.withColumn("w", F.transform("w", lambda w: F.xxhash64(w)))
+    of = [F.when((F.col("k") == k) if own else (F.size("w") >= k), shingles(k)).otherwise(F.array().cast(f"array<{'bigint' if hashed else 'string'}>")) for k in sizes]
+    return words.select(key, F.explode(F.concat(*of)).alias(name)) if of else words.select(key, F.lit(0 if hashed else "").alias(name)).limit(0)
+
 
+def sketches(hashes: DataFrame, met: DataFrame, share: float = SHARE) -> DataFrame:
+    """``item_id, h``: for each item the shingles that fewest documents have, as many as its partition by size asks for.
 
-def sketches(items: DataFrame, size: int = WORDS, share: float = SHARE) -> DataFrame:
-    """``item_id, h``: for each item the least hashes of its shingles, as many as its partition by size asks for."""
-    hashes = shingle_hashes(items, "item_id", size).groupBy("item_id").agg(F.sort_array(F.collect_set("h")).alias("hs"))  # of one item
-    most = F.pow(F.lit(2.0), F.floor(F.log2(F.size("hs"))) + 1) - 1
+    ``hashes`` has the items' shingles and ``met`` where documents have them: ``doc_id, h``, each once.
+    """
+    counts = met.groupBy("h").agg(F.count("*").alias("documents"))
+    ranked = hashes.distinct().join(counts, "h", "left").select("item_id", F.struct(F.coalesce("documents", F.lit(0)).alias("n"), "h").alias("r"))
+    ranked = ranked.groupBy("item_id").agg(F.sort_array(F.collect_list("r")).alias("rs"))  # of one item
+    most = F.pow(F.lit(2.0), F.floor(F.log2(F.size("rs"))) + 1) - 1
     k = most - F.ceil(F.round(most * F.lit(share), 6)) + 1
-    return hashes.select("item_id", F.explode(F.slice("hs", F.lit(1), F.least(k.cast("int"), F.size("hs")))).alias("h"))
+    kept = ranked.select("item_id", F.explode(F.slice("rs", F.lit(1), F.least(k.cast("int"), F.size("rs")))).alias("r"))
+    return kept.filter("r.n > 0").select("item_id", "r.h")
 
 
 def _small(df: DataFrame, most: int) -> DataFrame:
@@ -63,14 +84,19 @@ def contained_items(
     docs: DataFrame, items: DataFrame, size: int = WORDS, share: float = SHARE, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_found, containment`` of every item in every document that holds it."""
-    found = _small(stored(sketches(items, size, share), "sketches"), broadcast_rows)
-    met = shingle_hashes(docs, "doc_id", size).join(found, "h").select("doc_id", "item_id").distinct()
-    candidates = stored(met, "candidates")
-    shingles = stored(shingle_texts(items, "item_id", size), "item-shingles")
+    docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
+    sizes = lengths(items, size)
+    hashes = stored(_of_length(items, "item_id", sizes, _hashes, True, True).distinct(), "item-hashes")
+    named = _small(hashes.select("h").distinct(), broadcast_rows)
+    met = _of_length(docs, "doc_id", sizes, _hashes, True, False).join(named, "h", "left_semi").distinct()
+    met = stored(met, "met-shingles")
+    found = _small(stored(sketches(hashes, met, share), "sketches"), broadcast_rows)
+    candidates = stored(met.join(found, "h").select("doc_id", "item_id").distinct(), "candidates")
+    shingles = stored(_of_length(items, "item_id", sizes, _texts, False, True).distinct(), "item-shingles")
     whole = shingles.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
     suspects = _small(candidates.select("doc_id").distinct(), broadcast_rows).withColumnRenamed("doc_id", "suspect")
     own = docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi")
-    both = shingle_texts(own, "doc_id", size).join(_small(shingles, broadcast_rows), "s")
+    both = _of_length(own, "doc_id", sizes, _texts, False, False).distinct().join(_small(shingles, broadcast_rows), "s")
     named = candidates.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"))
     counts = both.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_found"))
     counts = counts.join(named, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("item_id").eqNullSafe(F.col("i")), "left_semi")

@@ -52,21 +52,20 @@ def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-CONTAINED_SQL = """
-  WITH words AS (
-    SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f\\x0B]+'), lambda x: x <> '') AS w FROM {table} WHERE text IS NOT NULL)
-  SELECT DISTINCT {key}, unnest(CASE
-      WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-  FROM words
+WORDS_SQL = """
+  SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f\\x0B]+'), lambda x: x <> '') AS w FROM {table} WHERE text IS NOT NULL
 """
 
+SHINGLES_SQL = "unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s"
+
 OP5_SQL = f"""
-  WITH d AS ({CONTAINED_SQL.format(key="doc_id", table="documents")}),
-       b AS ({CONTAINED_SQL.format(key="item_id", table="benchmark")}),
+  WITH items AS (SELECT item_id, w, least(len(w), 5) AS k FROM ({WORDS_SQL.format(key="item_id", table="benchmark")}) WHERE len(w) > 0),
+       b AS (SELECT DISTINCT item_id, k, {SHINGLES_SQL} FROM items),
+       d AS (SELECT DISTINCT doc_id, k, {SHINGLES_SQL}
+             FROM ({WORDS_SQL.format(key="doc_id", table="documents")}), (SELECT DISTINCT k FROM items) WHERE len(w) >= k),
        n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
   SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
-  FROM b JOIN d USING (s) JOIN n USING (item_id)
+  FROM b JOIN d USING (k, s) JOIN n USING (item_id)
   GROUP BY doc_id, item_id, n_shingles HAVING count(*) * 5 >= n_shingles * 4
 """
 
@@ -81,8 +80,10 @@ OP6_SQL = """
   pieces AS (SELECT doc_id, unnest(lines) AS raw, generate_subscripts(lines, 1) AS line_no FROM raw),
   even AS (SELECT doc_id, line_no, trim(regexp_replace(raw, '[ \\t\\r\\f\\x0B]+', ' ', 'g')) AS even FROM pieces),
   masked AS (
-    SELECT doc_id, line_no, string_split(regexp_replace(even, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g'), ' ') AS w FROM even),
-  line AS (SELECT doc_id, line_no, w, {'n': len(w), 'w': w[1:3]} AS leaf FROM masked WHERE len(w) >= 5),
+    SELECT doc_id, line_no, string_split(
+             CASE WHEN len(string_split(even, ' ')) >= 5 THEN regexp_replace(even, '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') ELSE even END, ' ') AS w
+    FROM even WHERE even <> ''),
+  line AS (SELECT doc_id, line_no, w, {'n': len(w), 'w': w[1:3]} AS leaf FROM masked),
   counts AS (SELECT leaf, w, count(DISTINCT doc_id) AS documents, min(doc_id) AS first FROM line GROUP BY leaf, w),
   placed AS (SELECT leaf, w, documents, first, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM counts),
   agreed AS (SELECT leaf, p, word FROM placed GROUP BY ALL HAVING sum(documents) >= 3),
@@ -94,7 +95,9 @@ OP6_SQL = """
     SELECT leaf, template, min(first) AS first FROM shaped WHERE stay >= 0.8 GROUP BY ALL HAVING sum(documents) >= 3),
   dropped AS (
     SELECT line.doc_id, line_no FROM line JOIN shaped USING (leaf, w) JOIN found f USING (leaf, template)
-    WHERE stay >= 0.8 AND line.doc_id <> f.first)
+    WHERE stay >= 0.8 AND line.doc_id <> f.first
+    UNION
+    SELECT doc_id, line_no FROM line JOIN counts USING (leaf, w) WHERE len(w) >= 20 AND documents > 1 AND doc_id <> first)
   SELECT doc_id, CAST(any_value(n) AS INTEGER) AS n_lines, CAST(count(d.line_no) AS INTEGER) AS n_dropped,
          coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (d.line_no IS NULL), '') AS text
   FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM pieces) LEFT JOIN dropped d USING (doc_id, line_no)

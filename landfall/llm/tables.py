@@ -30,3 +30,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has columns of these names."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found

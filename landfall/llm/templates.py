@@ -11,24 +11,24 @@ The tree is a key, and its leaves are groups of rows, so nothing depends on the
 lines. A leaf's distinct lines are counted first, and everything after is weighed by these
 counts: a line that a third of all documents have is one row.
 
-Lines are compared after blanks are made one and trimmed, and are given back as they were. Lines of
-fewer than ``words`` words, and blank ones, are left alone. The default of 5 and no ``long`` is what op6's SQL says; the
-pipeline lets every line in. Lines of fewer than ``WORDS`` words have no variable fields: all of such a line must recur.
-A line of ``long`` words or more is dropped from its second document on, even if only two have it. Documents that agree are counted by line: one with two
+Lines are compared after blanks are made one and trimmed, and are given back as they were. Blank ones are left
+alone. Lines of fewer than ``WORDS`` words have no variable fields: all of such a line must recur.
+A line of ``long`` words or more is dropped from its second document on, even if only two have it (None: no such rule). Documents that agree are counted by line: one with two
 lines of a leaf counts for each. A null text is an empty one. Rows of one ``doc_id`` are one
 document as to counts, and each has its own lines; a null ``doc_id`` is a document that is never the first.
-Further columns pass through.
+Further columns pass through, whatever their names.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
-from landfall.llm.tables import stored
+from landfall.llm.tables import fresh, stored
 
+# Words from which a line may have variable fields.
 WORDS = 5
 LEADING = 3
 LEAST = 3
 SHARE = 0.8
-# Words from which a line in two documents is a repeat, where that is asked for.
+# Words from which a line in two documents is a repeat.
 LONG = 20
 FIELD = "<*>"
 # Distinct lines of shared leaves are broadcast, to fetch their words, up to so many.
@@ -52,11 +52,11 @@ def _masked(even):
     return F.when(even.rlike("[0-9]") & (_words(even) >= WORDS), F.regexp_replace(even, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(even)
 
 
-def lines(docs: DataFrame, words: int = WORDS, leading: int = LEADING) -> DataFrame:
-    """``doc_id, row, at, n, leaf, line``: every line of enough words, its place in the tree and its hash."""
+def lines(docs: DataFrame, leading: int = LEADING) -> DataFrame:
+    """``doc_id, row, at, n, leaf, line``: every line that is not blank, its place in the tree and its hash."""
     every = docs.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
     every = every.select("doc_id", "row", "at", _even(F.col("raw")).alias("even"))
-    every = every.withColumn("n", _words(F.col("even"))).filter((F.col("n") >= words) & (F.col("even") != ""))
+    every = every.filter(F.col("even") != "").withColumn("n", _words(F.col("even")))
     every = every.select("doc_id", "row", "at", "n", _masked(F.col("even")).alias("masked"))
     leaf = F.xxhash64("n", F.substring_index("masked", " ", leading))
     return every.select("doc_id", "row", "at", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
@@ -93,26 +93,27 @@ def recurring(
 
 
 def drop_recurring_lines(
-    docs: DataFrame, least: int = LEAST, share: float = SHARE, words: int = WORDS, leading: int = LEADING,
-    broadcast_rows: int = BROADCAST_ROWS, long: int | None = None,
+    docs: DataFrame, least: int = LEAST, share: float = SHARE, leading: int = LEADING,
+    broadcast_rows: int = BROADCAST_ROWS, long: int | None = LONG,
 ) -> DataFrame:
     """All columns of ``docs``, with ``text`` less the lines of recurring templates, and ``n_lines, n_dropped``."""
     own = docs.select("doc_id", "text")
-    every = stored(lines(own, words, leading), "placed-lines")
+    every = stored(lines(own, leading), "placed-lines")
     found = stored(recurring(own, every, least, share, broadcast_rows).select("leaf", "line", "first"), "recurring-lines")
     if long is not None:
         twice = every.filter(F.col("n") >= long).groupBy("leaf", "line", "doc_id").agg(F.lit(1).alias("one"))
         twice = twice.groupBy("leaf", "line").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first"))
         found = found.unionAll(stored(twice.filter("documents > 1").select("leaf", "line", "first"), "long-lines"))
     dropped = every.join(found, ["leaf", "line"]).filter(F.coalesce(F.col("doc_id") != F.col("first"), F.lit(True)))
-    dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("at").alias("__places"))  # of one document
-    dropped = dropped.select(F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row"), "__places")
-    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64("text") == F.col("__row"))
+    dropped = dropped.groupBy("doc_id", "row").agg(F.collect_set("at").alias("places"))  # of one document
+    of, row, places = fresh(docs, "of", "row", "places")
+    dropped = dropped.select(F.col("doc_id").alias(of), F.col("row").alias(row), F.col("places").alias(places))
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.xxhash64("text") == F.col(row))
     raw = F.split(F.coalesce("text", F.lit("")), "\n")
-    left = F.array_join(F.filter(raw, lambda x, i: ~F.array_contains("__places", i)), "\n")
+    left = F.array_join(F.filter(raw, lambda x, i: ~F.array_contains(places, i)), "\n")
     return docs.join(dropped, same, "left").select(
         *[c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")],
-        F.when(F.col("__places").isNull(), F.coalesce("text", F.lit(""))).otherwise(left).alias("text"),
+        F.when(F.col(places).isNull(), F.coalesce("text", F.lit(""))).otherwise(left).alias("text"),
         F.size(raw).alias("n_lines"),
-        F.when(F.col("__places").isNull(), 0).otherwise(F.size("__places")).alias("n_dropped"),
+        F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).alias("n_dropped"),
     )

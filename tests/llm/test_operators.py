@@ -8,8 +8,9 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from landfall.llm import contamination, near_copies, order_minhash, packing, quality, queries, repair, repeats, simhash, templates, toxicity, wrappers
+from landfall.llm import contamination, order_minhash, packing, quality, queries, repair, repeats, simhash, templates, toxicity, wrappers
 
 random.seed(7)
 WORDS = ["the", "of", "and", "idiot", "Éclair", "naïve", "x1", "a,b", "###", "日本", "foo", "bar", "baz", "qux"]
@@ -156,55 +157,15 @@ def test_simhash_classes(spark, docs, none, hot, radius):
         assert simhash.near_duplicates(none).count() == 0
 
 
-def jaccard_classes(rows):
-    """The least id of each id's component of pairs at 0.8 or more, by brute force."""
-    sets = []
-    for _, text in rows:
-        w = [x for x in __import__("re").split(r"[ \t\n\r\f\x0B]+", (text or "").lower()) if x]
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if sets[i] == sets[j] or common and 5 * common >= 4 * len(sets[i] | sets[j]):
-                root[find(i)] = find(j)
-    least = {}
-    for k, (i, _) in enumerate(rows):
-        if i is not None:
-            least[find(k)] = min(least.get(find(k), i), i)
-    return by_id((i, least.get(find(k))) for k, (i, _) in enumerate(rows))
-
-
-def test_near_copies_are_all_pairs_at_jaccard_08(spark, docs, none):
-    base = [f"w{i}" for i in range(300)]
-    near = []
-    for i in range(60):  # from equal to under 0.8, of one text and of each other
-        changed = set(random.Random(i).sample(range(300), i % 9))
-        near.append((1000 + i, " ".join(f"x{i}" if j in changed else w for j, w in enumerate(base))))
-    near += [(2000 + k, " ".join(base[: 300 - 20 * k])) for k in range(8)]
-    near += [(3000 + k, f"a{k} b{k} c{k} " + " ".join(base[:40])) for k in range(30)]
-    more = spark.createDataFrame([(i, t, "", "", 0, "", 0) for i, t in near], docs.schema)
-    got = near_copies.near_copies(docs.unionAll(more)).collect()
-    want = jaccard_classes(ROWS + near)
-    assert by_id((r.doc_id, r.component_id) for r in got) == want
-    assert brute_classes(ROWS + near, 2) != want
-    assert near_copies.near_copies(none).count() == 0
-
-
-def test_near_duplicate_stage_keeps_one_of_each_jaccard_class(spark, docs):
+def test_near_duplicate_stage_keeps_one_of_each_class(spark, docs):
+    """The stage is the SimHash operator: of each class of its links the least id stays, and null ids that lead none go."""
     import corpus_pipeline
 
-    base = sentence(200) + " " + " ".join(f"v{i}" for i in range(100))
-    rows = [(i, base.replace("v50 ", f"y{i} ").replace("v80 ", f"z{i} ")) for i in range(12)] + [(90, sentence(50))]
-    some = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    some = docs.select("doc_id", "text", "lang", "source", "n_chars")
     kept = corpus_pipeline.one_of_each_group(spark, some, "")
-    assert {r.doc_id for r in kept.collect()} == {i for i, c in jaccard_classes(rows) if i == c} == {0, 90}
+    leads = {i for i, c in brute_classes(ROWS, 2) if i == c}
+    assert {r.doc_id for r in kept.collect()} == leads
+    assert corpus_pipeline.one_of_each_group(spark, some.limit(0), "").count() == 0
 
 
 def test_thresholds_take_the_cheapest_sum():
@@ -298,10 +259,40 @@ def test_contamination(spark, none):
     for most in (500_000, 0):
         got = contamination.contained_items(d, b, broadcast_rows=most).collect()
         assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert contamination.contained_items(d.withColumn("suspect", F.lit(1)).withColumn("k", F.lit(1)), b).count() == len(want)
     assert contamination.contained_items(d.limit(0), b).count() == 0
     assert contamination.contained_items(d, b.limit(0)).count() == 0
 
 
+def test_short_items_are_found_in_longer_documents(spark):
+    docs = [(1, "x y Red fox\nran z"), (2, "red  fox ran"), (3, "red fox"), (4, "fox"), (5, "foxes ran red")]
+    items = [(1, "red fox ran"), (2, "fox"), (3, "red fox"), (4, "ran far away")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = contamination.contained_items(d, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in got) == [
+        (1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1), (2, 3, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (4, 2, 1, 1),
+    ]
+
+
+def test_a_phrase_that_all_share_makes_no_candidates(spark, monkeypatch):
+    """Items and documents that have one phrase in common, and no match but one."""
+    sizes = {}
+    real = contamination.stored
+
+    def counted(df, name):
+        found = real(df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(contamination, "stored", counted)
+    phrase = "all of them have this one phrase"
+    items = [(i, f"{phrase} " + " ".join(f"i{i}w{j}" for j in range(15))) for i in range(60)]
+    docs = [(i, " ".join(f"d{i}w{j}" for j in range(10)) + f" {phrase}") for i in range(300)] + [(300, "so " + items[7][1])]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in contamination.contained_items(d, b).collect()] == [(300, 7)]
+    assert sizes["candidates"] == 1
+
+
 def test_templates(spark, none):
     lines = ["Page %d of 12 in this book", "visit our site for more news %s"]
     rows = [(i, "\n".join(["own words of number %d here %s" % (i, sentence(8)), lines[0] % i, "  visit our site\tfor more news today ", "The."])) for i in range(6)]
@@ -311,10 +302,12 @@ def test_templates(spark, none):
         got = templates.drop_recurring_lines(d, broadcast_rows=most).collect()
         kept = {(r.doc_id, r.text) for r in got}
         assert (0, rows[0][1]) in kept and (6, "") in kept and (7, "") in kept and (None, "") in kept
-        assert (1, rows[1][1].split("\n")[0] + "\nThe.") in kept
+        assert (1, rows[1][1].split("\n")[0]) in kept
         assert (3, "other text of the same id") in kept
         assert len(got) == len(rows)
     assert templates.drop_recurring_lines(d.limit(0)).count() == 0
+    clashing = d.withColumns({c: F.lit(1) for c in ("places", "of", "row", "at", "n", "line", "__places")})
+    assert {(r.doc_id, r.text) for r in templates.drop_recurring_lines(clashing).collect()} == kept
 
 
 def staged_lines(spark, texts):
