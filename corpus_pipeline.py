@@ -9,12 +9,12 @@ documents drop or keep them together. An empty table passes through.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.llm.contamination import contained_items
-from landfall.llm.near_copies import near_copies
 from landfall.llm.packing import pack
 from landfall.llm.quality import THRESHOLD
 from landfall.llm.queries import quality_scores, tokenizer_path
+from landfall.llm.simhash import near_duplicates
 from landfall.llm.tables import stored, table
-from landfall.llm.templates import LONG, drop_recurring_lines
+from landfall.llm.templates import drop_recurring_lines
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,19 +33,16 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates stay in their first document only; what they were all of is gone with them.
 
-    Lines of any length count; one of ``LONG`` words or more is a repeat from its second document on.
+    Lines of any length count; a long one is a repeat from its second document on.
     """
-    left = drop_recurring_lines(docs, words=1, long=LONG)
+    left = drop_recurring_lines(docs)
     left = left.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more on five-word shingles, the one of least ``doc_id``.
-
-    The stage keeps its name; SimHash fingerprints at most 2 bits apart, as op8 has them, find few of these.
-    """
-    classes = near_copies(docs)
+    """Of documents whose SimHash fingerprints link at 2 bits or fewer, as op8 has them, the one of least ``doc_id``."""
+    classes = near_duplicates(docs)
     return _keep(docs, classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_semi")
 
 
