@@ -6,8 +6,13 @@ Viterbi decoding under a trigram model of characters, counted over the whole cor
 likeliest. Words that look plain have one reading and are left alone.
 
 Restored words, and what they begin with, are then weighed by how much likelier they are in toxic
-texts than in others, as far as that is sure (a lower confidence bound). The weights of a text's distinct words, less
-what its length lets expect, are its evidence; an isotonic fit makes a share of it.
+texts than in others, as far as that is sure (a lower confidence bound). The weights of distinct words, less
+what their number lets expect, are evidence. A text has that of its strongest block: blocks of ``BLOCK_WORDS`` words, each
+half over the next, cover all of it, so a passage counts the same however long the text around it is. A text
+without a weighed word has that of all its words. An isotonic fit makes a share of it.
+
+Words of any length are read by one rule, in pieces of ``PIECE`` characters; what has no letter is nothing. A run of more than
+``MASKS`` asterisks says nothing about letters and only parts them.
 
 What is learnt from labels comes from at most ``fit_rows`` labelled rows, those of least hash. Character
 counts cover all documents. Labels that are null or of unknown documents teach nothing. A null text is
@@ -20,7 +25,7 @@ import re
 import sys
 import types
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -40,6 +45,9 @@ PREFIXES = range(3, 9)
 THRESHOLD = 0.5
 BINS = 1200
 LOW, HIGH = -20.0, 40.0
+BLOCK_WORDS = 256
+PIECE = 48
+MASKS = 4
 # Characters whose trigrams are counted at a time, in some 50 MB.
 BLOCK = 1 << 20
 
@@ -111,11 +119,11 @@ class Restorer:
             while j < len(word) and word[j] == c:
                 j += 1
             as_letters = [(c, 0.0)] if c in _CODE else [(a, SWAPPED) for a in LOOK_ALIKES.get(c, "")]
-            if c == "*":
+            if c == "*" and j - i <= MASKS:
                 as_letters = [("", SPLIT), *((a, MASKED) for a in LETTERS[:26])]
             elif c in SEPARATORS or not as_letters:
                 as_letters = [*as_letters, ("", SPLIT if c in SEPARATORS else MASKED)]
-            if j - i == 1 or c == "*":
+            if j - i == 1 or c == "*" and j - i <= MASKS:
                 steps += [as_letters] * (j - i)
             else:
                 once, twice = (DOUBLED, 0.0) if j - i == 2 else (0.0, SPLIT)
@@ -124,7 +132,9 @@ class Restorer:
         return steps
 
     def read(self, word: str) -> str:
-        """The likeliest letters behind a word in lower case."""
+        """The likeliest letters behind a word in lower case; of a long one those of its pieces."""
+        if len(word) > PIECE:
+            return "".join([self.read(word[i : i + PIECE]) for i in range(0, len(word), PIECE)])
         best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         for options in self._options(word):
             after: dict[tuple[int, int], tuple[float, str]] = {}
@@ -145,9 +155,7 @@ class Restorer:
         bare = _EDGES.sub("", word.lower())
         if bare.isalpha():
             return self.read(bare) if _TRIPLE.search(bare) and all(c in _CODE for c in bare) else bare
-        if sum(map(str.isalpha, bare)) * 2 < len(bare) and not (len(bare) <= 24 and any(map(str.isalpha, bare))):
-            return ""
-        return self.read(bare)
+        return self.read(bare) if any(map(str.isalpha, bare)) else ""
 
     def restore(self, text: str) -> str:
         """The whole text, word by word; letters set apart by blanks are one word."""
@@ -172,16 +180,27 @@ def begins(word: str) -> list[str]:
     return [*(word[:k] for k in PREFIXES if k <= len(word)), word + "$"] if word else []
 
 
-def distinct_words(text: str, restored) -> set[str]:
-    """The distinct restored words of a text; ``restored`` restores one word."""
-    found = set(map(restored, set(text.split())))
+def tokens(text: str) -> list[str]:
+    """The words of a text in order; letters set apart by blanks are one word."""
     # Blanks two apart are cheap to look for; few texts have them.
     if _may_be_apart(text):
-        found.update(restored(re.sub(r"[ \t]", "·", m)) for m in set(_APART.findall(text)))
+        text = _APART.sub(lambda m: re.sub(r"[ \t]", "·", m[0]), text)
+    return text.split()
+
+
+def distinct_words(words: list[str], restored) -> set[str]:
+    """The distinct restored words; ``restored`` restores one word."""
+    found = set(map(restored, set(words)))
     found.discard("")
     return found
 
 
+def blocks(words: list[str]) -> Iterator[list[str]]:
+    """Blocks that cover all words, each half over the next."""
+    half = BLOCK_WORDS // 2
+    yield from (words[i : i + BLOCK_WORDS] for i in range(0, max(len(words) - half, 1), half))
+
+
 def _may_be_apart(text: str) -> bool:
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     blank = np.r_[True, (raw == 32) | (raw == 9) | (raw == 10), True]
@@ -207,12 +226,18 @@ class _Memory(dict):
         return value
 
 
+_WORDS = pa.list_(pa.string())
+
+
 def _words(restorer: Restorer) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Memory(restorer.word)
         for batch in batches:
-            found = [sorted(distinct_words(t, memory.__getitem__)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.string()))], ["y", "words"])
+            read = [tokens(t) for t in batch.column("text").to_pylist()]
+            found = [sorted(distinct_words(t, memory.__getitem__)) for t in read]
+            by_block = [[sorted(distinct_words(b, memory.__getitem__)) for b in blocks(t)] for t in read]
+            columns = [batch.column("y"), pa.array(found, _WORDS), pa.array(by_block, pa.list_(_WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, ["y", "words", "blocks"])
 
     return run
 
@@ -273,7 +298,8 @@ def fit(known: DataFrame, restorer: Restorer) -> Model:
     def binned(batch: pa.RecordBatch) -> np.ndarray:
         memory = _Memory(model.weight)
         y = batch.column("y").to_numpy()
-        e = np.array([evidence([memory[w] for w in words], model.miss) for words in batch.column("words").to_pylist()])
+        rows = zip(batch.column("words").to_pylist(), batch.column("blocks").to_pylist())
+        e = np.array([strongest(words, by_block, memory, model.miss) for words, by_block in rows])
         at = np.clip((e - LOW) / (HIGH - LOW) * BINS, 0, BINS - 1).astype(int)
         return np.r_[np.bincount(at, minlength=BINS), np.bincount(at, weights=y, minlength=BINS)].astype(np.float64)
 
@@ -289,6 +315,23 @@ def evidence(weights: list[float], miss: float) -> float:
     return sum(w if w > 0 else miss for w in weights)
 
 
+def strongest(words: Collection[str], by_block: Iterable[Collection[str]], weight: dict[str, float], miss: float) -> float:
+    """The greatest evidence of blocks with a weighed word, that of all ``words`` where there is none."""
+    if not any(weight[w] > 0 for w in words):
+        return evidence([weight[w] for w in words], miss)
+    found = [[weight[w] for w in block] for block in by_block]
+    return max(evidence(ws, miss) for ws in found if max(ws, default=0) > 0)
+
+
+def text_evidence(text: str, restored: dict[str, str], weight: dict[str, float], miss: float) -> float:
+    """``strongest`` of a text, looking at its blocks only where it has a weighed word."""
+    words = tokens(text)
+    whole = distinct_words(words, restored.__getitem__)
+    if len(words) <= BLOCK_WORDS or not any(weight[w] > 0 for w in whole):
+        return evidence([weight[w] for w in whole], miss)
+    return strongest(whole, (distinct_words(b, restored.__getitem__) for b in blocks(words)), weight, miss)
+
+
 def corpus_restorer(docs: DataFrame) -> Restorer:
     """The restorer under the character counts of all ``docs``."""
     return Restorer.of(summed(texts(docs).select("text"), lambda b: trigram_counts(b.column("text").to_pylist()), SIZE**3))
@@ -312,7 +355,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     some = labels.filter("y is not null and doc_id is not null").select("doc_id", F.col("y").cast("int").alias("y"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
     known = own.join(F.broadcast(some), "doc_id").select("y", "text")  # fit_rows ids
-    known = stored(known.mapInArrow(_words(restorer), "y int, words array<string>"), "toxicity")
+    known = stored(known.mapInArrow(_words(restorer), "y int, words array<string>, blocks array<array<string>>"), "toxicity")
     model = fit(known, restorer)
 
     mark = uuid4().hex
@@ -324,10 +367,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
             kept["toxicity"] = mark, _Memory(model.restorer.word), _Memory(model.weight)
         _, restored, weight = kept["toxicity"]
         for batch in batches:
-            found = [
-                evidence([weight[w] for w in distinct_words(text, restored.__getitem__)], model.miss)
-                for text in batch.column("text").to_pylist()
-            ]
+            found = [text_evidence(text, restored, weight, model.miss) for text in batch.column("text").to_pylist()]
             scores = np.clip(np.interp(found, model.raw, model.share), 0, 1) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
