@@ -2,7 +2,7 @@
 
 Documents are put in ascending order of ``doc_id``, and consecutive ones form shards of about
 ``shard_tokens`` ids. In each shard frequent pairs of neighbouring symbols are replaced by a new
-symbol, round by round; a pair never spans two documents. What is stored for a shard:
+symbol, round by round, until no pair occurs ``LEAST`` times or no symbol is left; a pair never spans two documents. What is stored for a shard:
 
 ====================  =====================================================================
 ``symbols``           the documents' symbols in a row, little-endian unsigned 16-bit
@@ -35,8 +35,8 @@ from landfall.llm.tokens import END, tokenizer
 
 SHARD_TOKENS = 1 << 18
 BUCKET_BITS = 18
-ROUNDS = 4
-PAIRS_A_ROUND = 1024
+# Pairs replaced in one round at most; the next round goes on.
+PAIRS_A_ROUND = 4096
 LEAST = 8
 
 SHARD = (
@@ -46,38 +46,55 @@ SHARD = (
 NULL_ID = -(1 << 63)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first: int, rounds: int = ROUNDS, most: int = PAIRS_A_ROUND, least: int = LEAST):
+def _often(pair: np.ndarray, bucket: np.ndarray, there: np.ndarray, sizes: np.ndarray, limit: int, least: int, exact: bool):
+    """Places of one pair for each bucket of ``limit`` pairs, and the buckets whose pair occurs ``least`` times.
+
+    The pair is any of its bucket, or with ``exact`` one that occurs often wherever there is one.
+    """
+    at = np.flatnonzero((sizes >= limit)[bucket] & there)
+    one = np.zeros(1 << BUCKET_BITS, np.uint32)
+    one[bucket[at]] = pair[at]
+    if exact:
+        values, counts = np.unique(pair[at], return_counts=True)
+        values = values[counts >= least]
+        one[_bucket(values)] = values
+    at = at[one[bucket[at]] == pair[at]]
+    n = np.bincount(bucket[at], minlength=1 << BUCKET_BITS)
+    return at, one, n, np.flatnonzero(n >= least)
+
+
+def _bucket(pair: np.ndarray) -> np.ndarray:
+    return (pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first: int, most: int = PAIRS_A_ROUND, least: int = LEAST):
     """``(symbols, symbol_ends, rules, expansions)`` of ids whose documents end at ``ends``."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends - 1] = True  # every document has an id, its end
     rules: list[np.ndarray] = []
     expansions = np.ones(first, np.uint32)
-    for _ in range(rounds):
+    while True:
         free = (1 << 16) - first - sum(map(len, rules))
         if free <= 0 or len(symbols) < 2:
             break
         # Pairs as one number, counted in buckets; a frequent bucket stands for one pair in it.
         pair = (symbols[:-1] << np.uint32(16)) | symbols[1:]
-        bucket = (pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
-        sizes = np.bincount(bucket[~last[:-1]], minlength=1 << BUCKET_BITS)
+        bucket, there = _bucket(pair), ~last[:-1]
+        sizes = np.bincount(bucket[there], minlength=1 << BUCKET_BITS)
         often = sizes[sizes >= least]
         limit = least if len(often) <= most else int(np.partition(often, -most)[-most])
-        at = np.flatnonzero((sizes >= limit)[bucket] & ~last[:-1])
-        there, pairs_there = bucket[at], pair[at]
-        one = np.zeros(1 << BUCKET_BITS, np.uint32)
-        one[there] = pairs_there
-        same = one[there] == pairs_there
-        at, there = at[same], there[same]
-        n = np.bincount(there, minlength=1 << BUCKET_BITS)
-        chosen = np.flatnonzero(n >= least)
+        at, one, n, chosen = _often(pair, bucket, there, sizes, limit, least, False)
+        if not len(chosen):
+            # A frequent pair may stand behind another of its bucket.
+            at, one, n, chosen = _often(pair, bucket, there, sizes, least, least, True)
         if len(chosen) > free:
             chosen = chosen[np.argsort(-n[chosen], kind="stable")[:free]]
         if not len(chosen):
             break
         number = np.zeros(1 << BUCKET_BITS, np.uint32)
         number[chosen] = first + sum(map(len, rules)) + np.arange(len(chosen), dtype=np.uint32)
-        new = number[there]
+        new = number[bucket[at]]
         at, new = at[new > 0], new[new > 0]
         # Of pairs that overlap, every other one, from the left.
         starts = np.r_[True, np.diff(at) > 1]

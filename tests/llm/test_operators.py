@@ -109,6 +109,27 @@ def test_grammar_saves_repeats():
     assert repair.expand(symbols[: ends[0]], rules, 49408).size == 12000
 
 
+def test_grammars_go_on_until_no_pair_is_frequent():
+    """Copies of a document become one symbol, and no pair is left that occurs ``LEAST`` times, not even behind another of its bucket."""
+    rng = np.random.default_rng(4)
+    text = rng.integers(3, 9000, 999)
+    ids, ends = np.tile(np.r_[text, 2], 260).astype(np.uint32), np.arange(1, 261) * 1000
+    symbols, symbol_ends, rules, expansions = repair.compress(ids, ends, 49408)
+    assert len(symbols) == 260 and expansions.max() == 1000
+    assert (repair.expand(symbols, rules, 49408) == ids).all()
+    many = rng.zipf(1.3, 60_000).clip(3, 49_000).astype(np.uint32)
+    many[999::1000] = 2
+    symbols, symbol_ends, rules, _ = repair.compress(many, np.arange(1, 61) * 1000, 49408)
+    pairs = Counter()
+    start = 0
+    for end in symbol_ends:
+        own = symbols[start:end].tolist()
+        pairs.update(zip(own, own[1:]))
+        start = end
+    assert max(pairs.values()) < repair.LEAST
+    assert (repair.expand(symbols, rules, 49408) == many).all()
+
+
 def brute_classes(rows, radius):
     prints = [simhash.fingerprint(t or "") for _, t in rows]
     root = list(range(len(rows)))
