@@ -13,8 +13,8 @@ import types
 from tokenizers import Tokenizer
 
 END = 2
-# Words kept by one worker; beyond that it forgets them and starts again. About 250 MB.
-WORDS = 1_500_000
+# Words kept by one worker; beyond that it forgets them and starts again. About 70 MB.
+WORDS = 400_000
 
 _LETTERS_ONLY = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+\Z")
 _LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\[-`{-~]+)\Z")

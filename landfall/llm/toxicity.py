@@ -213,7 +213,7 @@ def _may_be_apart(text: str) -> bool:
 class _Memory(dict):
     """What a function said of each word, forgotten beyond so many words."""
 
-    def __init__(self, of, most: int = 1_000_000) -> None:
+    def __init__(self, of, most: int = 400_000) -> None:
         super().__init__()
         self.of, self.most = of, most
 
