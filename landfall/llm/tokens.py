@@ -13,7 +13,8 @@ import types
 from tokenizers import Tokenizer
 
 END = 2
-# Words kept by one worker; beyond that it forgets them and starts again. About 70 MB.
+# Words that a worker keeps in a generation. When it has so many, they become the last generation and a new one starts;
+# words that are met again move on, others are forgotten. Two generations take about 150 MB.
 WORDS = 400_000
 
 _LETTERS_ONLY = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+\Z")
@@ -31,6 +32,7 @@ class WordTokenizer:
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
         # The tokenizer's own stand-ins for bytes, found by asking it; they serve words of letters,
         # which its normalizer only lower-cases.
         self.bytes_as = {}
@@ -55,13 +57,14 @@ class WordTokenizer:
         except KeyError:
             pass
         if len(ids) > WORDS:
-            ids.clear()
+            self.last, self.ids = ids, {}
+            ids = self.ids
         found = []
         for w in words:
             b = ids.get(w)
             if b is None:
+                b = self.last.get(w) or self._parts(w)
                 # A very long word is not worth keeping.
-                b = self._parts(w)
                 if len(w) < 64:
                     ids[w] = b
             found.append(b)
@@ -77,7 +80,7 @@ class WordTokenizer:
     def _piece(self, piece: str) -> bytes:
         b = self.ids.get(piece)
         if b is None:
-            b = self._word(piece)
+            b = self.last.get(piece) or self._word(piece)
             if len(piece) < 64:
                 self.ids[piece] = b
         return b
