@@ -46,71 +46,86 @@ SHARD = (
 NULL_ID = -(1 << 63)
 
 
-def _often(pair: np.ndarray, bucket: np.ndarray, there: np.ndarray, sizes: np.ndarray, limit: int, least: int, exact: bool):
+def _often(pair: np.ndarray, bucket: np.ndarray, sizes: np.ndarray, limit: int, least: int, exact: bool):
     """Places of one pair for each bucket of ``limit`` pairs, and the buckets whose pair occurs ``least`` times.
 
     The pair is any of its bucket, or with ``exact`` one that occurs often wherever there is one.
     """
-    at = np.flatnonzero((sizes >= limit)[bucket] & there)
-    one = np.zeros(1 << BUCKET_BITS, np.uint32)
+    at = np.flatnonzero((sizes >= limit)[bucket])
+    one = np.zeros(len(sizes), np.uint32)
     one[bucket[at]] = pair[at]
     if exact:
         values, counts = np.unique(pair[at], return_counts=True)
         values = values[counts >= least]
-        one[_bucket(values)] = values
+        one[_bucket(values, len(sizes))] = values
     at = at[one[bucket[at]] == pair[at]]
-    n = np.bincount(bucket[at], minlength=1 << BUCKET_BITS)
+    n = np.bincount(bucket[at], minlength=len(sizes))
     return at, one, n, np.flatnonzero(n >= least)
 
 
-def _bucket(pair: np.ndarray) -> np.ndarray:
-    return (pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
+def _bucket(pair: np.ndarray, buckets: int) -> np.ndarray:
+    return (pair * np.uint32(0x9E3779B1)) >> np.uint32(33 - buckets.bit_length())
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int, most: int = PAIRS_A_ROUND, least: int = LEAST):
-    """``(symbols, symbol_ends, rules, expansions)`` of ids whose documents end at ``ends``."""
-    symbols = ids.astype(np.uint32)
-    last = np.zeros(len(symbols), bool)
-    last[ends - 1] = True  # every document has an id, its end
+    """``(symbols, symbol_ends, rules, expansions)`` of ids whose documents end at ``ends``.
+
+    A symbol knows where those before and after it in its document are; place ``size`` stands for none. Only places
+    whose pair may be frequent are looked at again: a pair that is rare stays so until one of its symbols is replaced.
+    """
+    size = len(ids)
+    symbols = np.r_[ids, 0].astype(np.uint32)
+    after, before = np.arange(1, size + 2), np.arange(-1, size)
+    after[ends - 1] = after[size] = size  # every document has an id, its end
+    before[np.r_[0, ends]] = size
+    there = np.ones(size, bool)
     rules: list[np.ndarray] = []
     expansions = np.ones(first, np.uint32)
+    live = np.flatnonzero(after[:size] < size)
     while True:
-        free = (1 << 16) - first - sum(map(len, rules))
-        if free <= 0 or len(symbols) < 2:
+        free = (1 << 16) - len(expansions)
+        if free <= 0 or not len(live):
             break
         # Pairs as one number, counted in buckets; a frequent bucket stands for one pair in it.
-        pair = (symbols[:-1] << np.uint32(16)) | symbols[1:]
-        bucket, there = _bucket(pair), ~last[:-1]
-        sizes = np.bincount(bucket[there], minlength=1 << BUCKET_BITS)
+        pair = (symbols[live] << np.uint32(16)) | symbols[after[live]]
+        buckets = 1 << min(BUCKET_BITS, (4 * len(live)).bit_length())
+        bucket = _bucket(pair, buckets)
+        sizes = np.bincount(bucket, minlength=buckets)
+        may = (sizes >= least)[bucket]
+        live, pair, bucket = live[may], pair[may], bucket[may]
         often = sizes[sizes >= least]
         limit = least if len(often) <= most else int(np.partition(often, -most)[-most])
-        at, one, n, chosen = _often(pair, bucket, there, sizes, limit, least, False)
+        found, one, n, chosen = _often(pair, bucket, sizes, limit, least, False)
         if not len(chosen):
             # A frequent pair may stand behind another of its bucket.
-            at, one, n, chosen = _often(pair, bucket, there, sizes, least, least, True)
+            found, one, n, chosen = _often(pair, bucket, sizes, least, least, True)
         if len(chosen) > free:
             chosen = chosen[np.argsort(-n[chosen], kind="stable")[:free]]
         if not len(chosen):
             break
-        number = np.zeros(1 << BUCKET_BITS, np.uint32)
-        number[chosen] = first + sum(map(len, rules)) + np.arange(len(chosen), dtype=np.uint32)
-        new = number[bucket[at]]
-        at, new = at[new > 0], new[new > 0]
+        number = np.zeros(buckets, np.uint32)
+        number[chosen] = len(expansions) + np.arange(len(chosen), dtype=np.uint32)
+        new = number[bucket[found]]
+        at, new = live[found[new > 0]], new[new > 0]
         # Of pairs that overlap, every other one, from the left.
-        starts = np.r_[True, np.diff(at) > 1]
+        starts = np.r_[True, at[1:] != after[at[:-1]]]
         run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - run) % 2 == 0
         at, new = at[taken], new[taken]
         left, right = one[chosen] >> np.uint32(16), one[chosen] & np.uint32(0xFFFF)
         rules.append(np.stack([left, right], axis=1))
         expansions = np.r_[expansions, expansions[left] + expansions[right]]
-        symbols[at] = new
-        last[at] = last[at + 1]
-        gone = np.ones(len(symbols), bool)
-        gone[at + 1] = False
-        symbols, last = symbols[gone], last[gone]
+        gone = after[at]
+        symbols[at], there[gone] = new, False
+        after[at] = after[gone]
+        before[after[at]] = at
+        again = np.zeros(size + 1, bool)
+        again[live] = again[at] = again[before[at]] = True
+        again[gone] = again[size] = False
+        live = np.flatnonzero(again)
+        live = live[after[live] < size]
     pairs = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return symbols, np.flatnonzero(last) + 1, pairs, expansions[first:]
+    return symbols[:size][there], np.flatnonzero((after[:size] == size)[there]) + 1, pairs, expansions[first:]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
@@ -127,6 +142,25 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     return symbols
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, expansions: np.ndarray, first: int) -> np.ndarray:
+    """``expand`` of many symbols: each rule is expanded once, and its ids copied to wherever it stands."""
+    lengths = expansions.astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    ids = expand(np.arange(first, first + len(rules), dtype=np.uint32), rules, first)
+    inner = symbols >= first
+    rule = symbols[inner].astype(np.int64) - first
+    width = np.ones(len(symbols), np.int64)
+    width[inner] = lengths[rule]
+    at = np.cumsum(width) - width
+    out = np.empty(int(width.sum()), np.uint32)
+    out[at[~inner]] = symbols[~inner]
+    wide = width[inner]
+    one_by_one = np.arange(int(wide.sum()))
+    own = np.cumsum(wide) - wide
+    out[np.repeat(at[inner] - own, wide) + one_by_one] = ids[np.repeat(starts[rule] - own, wide) + one_by_one]
+    return out
+
+
 def decode(shard: dict, document: int, start: int = 0, stop: int | None = None) -> np.ndarray:
     """Ids ``start`` to ``stop`` of one document of a shard; only symbols that reach into the range are expanded."""
     first = shard["first_symbol"]
@@ -199,7 +233,8 @@ def _reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in batch.to_pylist():
             docs = np.frombuffer(shard["doc_ids"], "<i8")
             ends = np.frombuffer(shard["token_ends"], "<u4").astype(np.int64)
-            ids = expand(np.frombuffer(shard["symbols"], "<u2"), np.frombuffer(shard["rules"], "<u2").reshape(-1, 2), shard["first_symbol"])
+            symbols, rules = np.frombuffer(shard["symbols"], "<u2"), np.frombuffer(shard["rules"], "<u2").reshape(-1, 2)
+            ids = expand_all(symbols, rules, np.frombuffer(shard["expansions"], "<u4"), shard["first_symbol"])
             starts = np.r_[0, ends[:-1]]
             raw = ids.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
