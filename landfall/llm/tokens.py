@@ -14,8 +14,8 @@ from tokenizers import Tokenizer
 
 END = 2
 # Words that a worker keeps in a generation. When it has so many, they become the last generation and a new one starts;
-# words that are met again move on, others are forgotten. Two generations take about 150 MB.
-WORDS = 400_000
+# words that are met again move on, others are forgotten. Two generations take about 160 MB.
+WORDS = 500_000
 
 _LETTERS_ONLY = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+\Z")
 _LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\[-`{-~]+)\Z")
@@ -31,6 +31,7 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.ids: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
         # The tokenizer's own stand-ins for bytes, found by asking it; they serve words of letters,
@@ -43,44 +44,33 @@ class WordTokenizer:
     def _word(self, word: str) -> bytes:
         lower = word.lower()
         if lower.isascii() and lower.isalpha():
-            ids = [t.id for t in self.whole.model.tokenize(lower)]
+            ids = [t.id for t in self.model.tokenize(lower)]
         elif _LETTERS_ONLY.match(word) and all(c in self.bytes_as for c in lower):
-            ids = [t.id for t in self.whole.model.tokenize("".join([self.bytes_as[c] for c in lower]))]
+            ids = [t.id for t in self.model.tokenize("".join([self.bytes_as[c] for c in lower]))]
         else:
             ids = self.whole.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        words, ids = text.replace("\n", " ").split(" "), self.ids
-        try:
-            return b"".join([ids[w] for w in words])
-        except KeyError:
-            pass
-        if len(ids) > WORDS:
-            self.last, self.ids = ids, {}
-            ids = self.ids
-        found = []
-        for w in words:
-            b = ids.get(w)
-            if b is None:
-                b = self.last.get(w) or self._parts(w)
-                # A very long word is not worth keeping.
-                if len(w) < 64:
-                    ids[w] = b
-            found.append(b)
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.ids.get, words))
+        if None in found:
+            if len(self.ids) > WORDS:
+                self.last, self.ids = self.ids, {}
+            for at in [i for i, b in enumerate(found) if b is None]:
+                found[at] = self._learnt(words[at])
         return b"".join(found)
 
-    def _parts(self, word: str) -> bytes:
-        """Letters with marks at their end are the most common kind: two pieces, each kept."""
+    def _learnt(self, word: str) -> bytes:
+        """Letters with marks at their end are the most common kind that is met once: two pieces, each kept, but not the whole."""
         m = _LETTERS_AND_MARKS.match(word)
-        if m is None:
-            return self._word(word)
-        return b"".join([self._piece(m[1]), self._piece(m[2])])
+        return self._piece(word) if m is None else self._piece(m[1]) + self._piece(m[2])
 
     def _piece(self, piece: str) -> bytes:
         b = self.ids.get(piece)
         if b is None:
             b = self.last.get(piece) or self._word(piece)
+            # A very long word is not worth keeping.
             if len(piece) < 64:
                 self.ids[piece] = b
         return b
