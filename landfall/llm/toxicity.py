@@ -213,7 +213,7 @@ def _may_be_apart(text: str) -> bool:
 class _Memory(dict):
     """What a function said of each word, forgotten beyond so many words."""
 
-    def __init__(self, of, most: int = 1_000_000) -> None:
+    def __init__(self, of, most: int = 600_000) -> None:
         super().__init__()
         self.of, self.most = of, most
 
@@ -222,15 +222,23 @@ class _Memory(dict):
             self.clear()
         value = self.of(word)
         if len(word) < 64:
+            # A word that is said again as it is is held once.
+            value = word if value == word else value
             self[word] = value
         return value
 
 
+def _kept() -> dict:
+    """What this process keeps from task to task."""
+    return sys.modules.setdefault("_landfall_llm_kept", types.ModuleType("_landfall_llm_kept")).__dict__
+
+
 _WORDS = pa.list_(pa.string())
 
 
 def _words(restorer: Restorer) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _kept().pop("toxicity", None)  # a former job's words
         memory = _Memory(restorer.word)
         for batch in batches:
             read = [tokens(t) for t in batch.column("text").to_pylist()]
@@ -362,7 +370,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Words that this process has seen in earlier tasks of the job.
-        kept = sys.modules.setdefault("_landfall_llm_kept", types.ModuleType("_landfall_llm_kept")).__dict__
+        kept = _kept()
         if kept.get("toxicity", (None,))[0] != mark:
             kept["toxicity"] = mark, _Memory(model.restorer.word), _Memory(model.weight)
         _, restored, weight = kept["toxicity"]
