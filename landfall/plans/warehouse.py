@@ -5,11 +5,13 @@ run has passed its checks, and then all of what it wrote.
 """
 
 from collections.abc import Callable, Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 from math import floor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from landfall import fixed
@@ -114,6 +116,13 @@ class Outcome:
     top_cities: DataFrame
 
 
+def _together(spark: SparkSession, *steps: Callable) -> list:
+    """What the steps return. Their jobs share the cluster, so that it is not idle while one has few tasks left. All have ended
+    when one that fails raises."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
+
+
 def distinct_arrivals(
     spark: SparkSession, kept: DataFrame, counted: DataFrame | None = None, folder: str | None = None
 ) -> DataFrame:
@@ -204,6 +213,36 @@ def _sorted(
     return good, quarantined(once.filter(F.col("reason").isNotNull()), name, MALFORMED), results()
 
 
+MET_PORTS = "met-ports"
+
+
+def _estimated(df: DataFrame) -> int:
+    """The size of a table as Spark estimates it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _met_ports(load: Load, codes: DataFrame, present: DataFrame) -> DataFrame:
+    """The codes to keep arrivals by. If Spark would not broadcast them, those that arrivals have, broadcast if they are few.
+
+    One column of the arrivals is read for this, and no row of them is shuffled for the list then.
+    """
+    automatic = load.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if automatic < 0 or _estimated(codes) <= automatic:
+        return codes
+    named = present.select(F.col("i94port").alias("code")).distinct()
+    met = load.scratch(codes.select("code").join(named, "code", "left_semi").distinct(), MET_PORTS)
+    return F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
+
+
+def _places_met(load: Load, ports: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The ports that staged arrivals may have, if ``stage`` listed these and the ports are too many to broadcast."""
+    path = f"{load.folder}/scratch/{MET_PORTS}"
+    if not exists(load.spark, path) or _broadcast_if_small(ports, broadcast_bytes)[1]:
+        return ports
+    met = load.spark.read.schema("code string").parquet(path)
+    return load.scratch(ports.join(met, "code", "left_semi"), "places-met")
+
+
 def month_name(year: int, month: int) -> str:
     return f"{year:04d}-{month:02d}"
 
@@ -262,10 +301,12 @@ def stage(
         present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fixed.REQUIRED_COLUMNS])
         checks.append(_readable(raw))
         arrivals, apart, results = _sorted(load, raw, ARRIVALS, checks, {"well_formed"} | outside, present)
+        codes = _met_ports(load, codes, arrivals)
         staged = distinct_arrivals(spark, keep_arrivals(arrivals, codes), folder=f"{load.folder}/scratch/repeated")
         bad.append(apart)
     else:
         inside = serial_in_period("arrdate", year, month) if only_dates else F.lit(True)
+        codes = _met_ports(load, codes, keep_present(raw.filter(inside), fixed.REQUIRED_COLUMNS))
         kept = keep_arrivals(raw.filter(inside), codes)
         few = raw.select(*dict.fromkeys(["cicid", "i94port", "arrdate", *fixed.REQUIRED_COLUMNS]))
         observed, seen = _observed(few, ARRIVALS, checks)
@@ -285,10 +326,13 @@ def stage(
     bad.append(quarantined(malformed_lines(lines).withColumn("reason", F.lit("well_formed")), PORTS, "value"))
     results = results + found + report(lines, PORTS, [well_formed("value", ~well_formed_port())]).collect()
     raise_on_failure(results, allowed)
-    staged = load.write(staged, fixed.STAGE_ARRIVALS, "arrdate", _serials_of(year, month, only_dates))
-    daily = load.write(stage_temperatures(days, country, year, month), fixed.STAGE_TEMPERATURES)
     apart = reduce(DataFrame.unionAll, bad).withColumn("month", F.lit(month_name(year, month)))
-    load.write(apart, fixed.QUARANTINED, "month", _this_month(year, month, only_dates))
+    staged, daily, _ = _together(
+        spark,
+        lambda: load.write(staged, fixed.STAGE_ARRIVALS, "arrdate", _serials_of(year, month, only_dates)),
+        lambda: load.write(stage_temperatures(days, country, year, month), fixed.STAGE_TEMPERATURES),
+        lambda: load.write(apart, fixed.QUARANTINED, "month", _this_month(year, month, only_dates)),
+    )
     return staged, daily, results
 
 
@@ -298,14 +342,17 @@ def dimensions(load: Load, inputs: Inputs, state_parse: str = "exact") -> DataFr
     countries = code_list(
         read_lines(spark, inputs.countries), fixed.JUNK_COUNTRIES, fixed.OTHER_COUNTRIES
     )
-    load.write(countries, fixed.DIM_COUNTRIES)
     modes = code_list(read_lines(spark, inputs.travel_modes))
-    load.write(modes, fixed.DIM_TRAVEL_MODES)
     visas = code_list(read_lines(spark, inputs.visas))
-    load.write(visas, fixed.DIM_VISAS)
     lines, states = read_lines(spark, inputs.ports), read_lines(spark, inputs.states)
-    load.write(port_rejects(lines, states, state_parse), fixed.REJECTED_PORTS)
-    return load.write(ports_dim(lines, states, state_parse), fixed.DIM_PORTS)
+    return _together(
+        spark,
+        lambda: load.write(countries, fixed.DIM_COUNTRIES),
+        lambda: load.write(modes, fixed.DIM_TRAVEL_MODES),
+        lambda: load.write(visas, fixed.DIM_VISAS),
+        lambda: load.write(port_rejects(lines, states, state_parse), fixed.REJECTED_PORTS),
+        lambda: load.write(ports_dim(lines, states, state_parse), fixed.DIM_PORTS),
+    )[-1]
 
 
 def check_before_joins(temperatures: DataFrame, ports: DataFrame) -> DataFrame:
@@ -319,8 +366,7 @@ def check_before_joins(temperatures: DataFrame, ports: DataFrame) -> DataFrame:
 def _broadcast_if_small(df: DataFrame, most: int) -> tuple[DataFrame, bool]:
     """The table with a hint, if its size and a count, which Parquet answers from its footers, allow it."""
     automatic = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    small = not automatic.startswith("-") and size <= most and df.count() <= BROADCAST_ROWS
+    small = not automatic.startswith("-") and _estimated(df) <= most and df.count() <= BROADCAST_ROWS
     return (F.broadcast(df) if small else df), small
 
 
@@ -343,13 +389,16 @@ def fact(
     visits need no gathering either.
     """
     arrivals = arrivals.filter(serial_in_period("arrdate", year, month))
-    ports, few_ports = _broadcast_if_small(ports, broadcast_bytes)
+    ports, few_ports = _broadcast_if_small(_places_met(load, ports, broadcast_bytes), broadcast_bytes)
     temperatures, few_days = _broadcast_if_small(temperatures, broadcast_bytes)
     coverage = port_coverage(arrivals, ports, temperatures, lenient_dates)
-    load.write(coverage, fixed.PORT_COVERAGE)
     visits = build_visits(arrivals, ports, temperatures, lenient_dates)
     gather = not (few_ports and few_days)
-    return load.write(visits, fixed.FACT_VISITS, "arrdate", _dates_of(year, month, only_dates), gather)
+    return _together(
+        load.spark,
+        lambda: load.write(coverage, fixed.PORT_COVERAGE),
+        lambda: load.write(visits, fixed.FACT_VISITS, "arrdate", _dates_of(year, month, only_dates), gather),
+    )[-1]
 
 
 def check(visits: DataFrame, year: int, month: int) -> DataFrame:
@@ -483,10 +532,13 @@ def publish(load: Load, visits: DataFrame, replaces: Callable[[str], bool] | Non
             old = read_table(spark, root, fixed.FACT_VISITS, visits.schema)
             old = old.filter(F.col("arrdate").isin([date.fromisoformat(d) for d in missing]))
             totals = totals.unionByName(port_totals(old, "arrdate"))
-    load.write(totals, fixed.PORT_TOTALS, "arrdate", replaces)
     # The fact's partitions are its dates, so none of its files is opened for them.
     dates = [(_fact_day(p.split("=", 1)[1]),) for p in load.partitions(fixed.FACT_VISITS)]
-    load.write(date_dim(spark.createDataFrame(dates, "arrdate date").coalesce(1)), fixed.DIM_DATE)
+    _together(
+        spark,
+        lambda: load.write(totals, fixed.PORT_TOTALS, "arrdate", replaces),
+        lambda: load.write(date_dim(spark.createDataFrame(dates, "arrdate date").coalesce(1)), fixed.DIM_DATE),
+    )
     load.publish()
     return read_table(spark, root, fixed.FACT_VISITS, visits.schema)
 
@@ -540,8 +592,12 @@ def run(
         ports = dimensions(load, inputs, state_parse)
         checks += raise_on_failure(check_before_joins(temperatures, ports), allowed)
         visits = fact(load, arrivals, ports, temperatures, year, month, lenient_dates, only_dates, broadcast_bytes)
-        checks += raise_on_failure(check(visits, year, month), allowed)
-        own = summarise(load, arrivals, _this_month(year, month, only_dates))
+        found, own = _together(
+            spark,
+            lambda: raise_on_failure(check(visits, year, month), allowed),
+            lambda: summarise(load, arrivals, _this_month(year, month, only_dates)),
+        )
+        checks += found
         if only_dates and exists(spark, f"{output}/{fixed.FACT_VISITS}"):
             checks += raise_on_failure([check_across(load, visits, own, year, month)], allowed)
         publish(load, visits, _dates_of(year, month, only_dates))
