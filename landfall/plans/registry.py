@@ -1,7 +1,7 @@
 """Every operator as a query over the benchmark tables, with its meaning in SQL beside it."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -763,6 +763,13 @@ GOOD_DAYS = f"({EVENT_DAYS}) WHERE event_type = 'view' AND day(day) NOT IN (5, 6
 PORT_LINES = "(SELECT false AS bad FROM customer UNION ALL SELECT true FROM nation)"
 
 
+def delivered(first: warehouse.Inputs, arrivals: DataFrame) -> warehouse.Inputs:
+    """Further arrivals landed beside the files that came with the first, which are not written again."""
+    folder = shared_folder(arrivals.sparkSession, "landing")
+    arrivals.write.format(first.arrivals_format).option("header", True).save(f"{folder}/arrivals")
+    return replace(first, arrivals=f"{folder}/arrivals")
+
+
 def run_with_bad_rows(spark: SparkSession, sf_dir: str, output: str, only_dates: bool = False) -> warehouse.Outcome:
     """A run over CSV files into which bad rows of every kind are mixed."""
     kind = F.pmod(F.col("i94port").cast("int"), F.lit(50))
@@ -832,8 +839,8 @@ def monthly_reload(spark, sf_dir):
     output = shared_folder(spark, "warehouse")
     arrivals = mapped.event_arrivals(spark, sf_dir)
     less = arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3)
-    for rows in (arrivals, less):
-        inputs = landing(spark, sf_dir, rows)
+    first = landing(spark, sf_dir, arrivals)
+    for inputs in (first, delivered(first, less)):
         warehouse.run(spark, inputs, output, 2024, 1, country="view", state="12", only_dates=True)
     fact = read_table(spark, output, fixed.FACT_VISITS)
     return fact.groupBy("arrdate").agg(
@@ -898,11 +905,12 @@ LATE_VERSIONS = f"""
 def late_arrivals(spark, sf_dir):
     """A month, and then corrections of a tenth of its arrivals, each in two versions that move it by a day."""
     output = shared_folder(spark, "warehouse")
-    warehouse.run(spark, landing(spark, sf_dir), output, 2024, 1, country="view", state="12")
+    first = landing(spark, sf_dir)
+    warehouse.run(spark, first, output, 2024, 1, country="view", state="12")
     arrivals = mapped.event_arrivals(spark, sf_dir).filter(F.pmod(F.col("i94port").cast("int"), F.lit(10)) == 3)
     versions = arrivals.withColumn("delivered", F.explode(F.array(F.lit(1), F.lit(2))))
     late = versions.withColumns({c: F.col(c) + F.col("delivered") for c in ("arrdate", "depdate")})
-    warehouse.amend(spark, landing(spark, sf_dir, late), output, country="view", order="delivered")
+    warehouse.amend(spark, delivered(first, late), output, country="view", order="delivered")
     fact = read_table(spark, output, fixed.FACT_VISITS)
     return fact.groupBy("arrdate").agg(
         F.count("*").alias("n"),
@@ -959,8 +967,8 @@ def rankings_from_partials(spark, sf_dir):
     """Rankings after a reload, from the totals by date and port that loads maintain."""
     output = shared_folder(spark, "warehouse")
     arrivals = mapped.event_arrivals(spark, sf_dir)
-    for rows in (arrivals, arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3)):
-        inputs = landing(spark, sf_dir, rows)
+    first = landing(spark, sf_dir, arrivals)
+    for inputs in (first, delivered(first, arrivals.filter(F.dayofmonth(sas_date("arrdate")) != 3))):
         warehouse.run(spark, inputs, output, 2024, 1, country="view", state="12", only_dates=True)
     named = zip(("top_states", "warmest_states", "top_cities"), warehouse.rankings(spark, output, "12"))
     return reduce(DataFrame.unionAll, [

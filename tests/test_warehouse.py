@@ -4,7 +4,7 @@ import pytest
 
 from fixtures import ARRIVALS, TEMPERATURES, land, rows
 from landfall import fixed
-from landfall.plans import warehouse
+from landfall.plans import registry, warehouse
 from landfall.sources import read_table
 
 ROWS = {
@@ -218,3 +218,31 @@ def test_a_month_is_added_to_others(spark, tmp_path):
     assert read_table(spark, output, fixed.DIM_DATE).count() == 4
 
 
+
+
+def test_many_ports_shuffle_no_arrivals(spark, tmp_path, monkeypatch):
+    """Of more ports than Spark would broadcast, those that arrivals have are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    monkeypatch.setattr(warehouse, "BROADCAST_ROWS", 7)  # of nine port lines, and five ports
+    inputs, output = land(spark, tmp_path / "in"), str(tmp_path / "out")
+    plans, write = {}, warehouse.Load.write
+
+    def noted(load, df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(load, df, name, *rest)
+
+    monkeypatch.setattr(warehouse.Load, "write", noted)
+    try:
+        warehouse.run(spark, inputs, output, 2016, 4, state="ST")
+        assert counts(spark, output) == ROWS
+        assert "BroadcastHashJoin" in plans[fixed.STAGE_ARRIVALS] and "SortMergeJoin" not in plans[fixed.STAGE_ARRIVALS]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_second_delivery_lands_its_arrivals_alone(spark, tmp_path):
+    first = land(spark, tmp_path / "in")
+    arrivals = spark.read.parquet(first.arrivals)
+    second = registry.delivered(first, arrivals.filter("arrdate <> 20547"))
+    assert second.arrivals != first.arrivals and second.ports == first.ports and second.temperatures == first.temperatures
+    assert spark.read.parquet(second.arrivals).count() == arrivals.filter("arrdate <> 20547").count()
