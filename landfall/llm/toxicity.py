@@ -48,6 +48,8 @@ LOW, HIGH = -20.0, 40.0
 BLOCK_WORDS = 256
 PIECE = 48
 MASKS = 4
+# Rows that a worker holds as Python objects at a time.
+ROWS = 500
 # Characters whose trigrams are counted at a time, in some 50 MB.
 BLOCK = 1 << 20
 
@@ -152,7 +154,8 @@ class Restorer:
 
     def word(self, word: str) -> str:
         """A word in lower case without marks around it, restored if it looks disguised."""
-        bare = _EDGES.sub("", word.lower())
+        lower = word.lower()
+        bare = lower if lower.isalpha() else _EDGES.sub("", lower)
         if bare.isalpha():
             return self.read(bare) if _TRIPLE.search(bare) and all(c in _CODE for c in bare) else bare
         return self.read(bare) if any(map(str.isalpha, bare)) else ""
@@ -171,7 +174,15 @@ class Model:
     raw: np.ndarray = field(default_factory=lambda: np.array([0.0]))
     share: np.ndarray = field(default_factory=lambda: np.array([0.0]))
 
+    heads: frozenset[str] = field(init=False)
+
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "heads", frozenset(f[: PREFIXES[0]] for f in self.weights))
+
     def weight(self, word: str) -> float:
+        # All that is weighed of a word begins alike.
+        if f"{word}$"[: PREFIXES[0]] not in self.heads:
+            return 0.0
         return max([self.weights.get(f, 0.0) for f in begins(word)], default=0.0)
 
 
@@ -211,20 +222,25 @@ def _may_be_apart(text: str) -> bool:
 
 
 class _Memory(dict):
-    """What a function said of each word, forgotten beyond so many words."""
+    """What a function said of each word. Beyond so many words they become the last generation: those met again move on, others
+    are forgotten."""
 
-    def __init__(self, of, most: int = 600_000) -> None:
+    def __init__(self, of, most: int = 100_000) -> None:
         super().__init__()
-        self.of, self.most = of, most
+        self.of, self.most, self.last = of, most, {}
 
     def __missing__(self, word: str):
-        if len(self) >= self.most:
-            self.clear()
-        value = self.of(word)
-        if len(word) < 64:
+        value = self.last.get(word)
+        if value is None:
+            value = self.of(word)
+            if len(word) >= 64:
+                return value
             # A word that is said again as it is is held once.
             value = word if value == word else value
-            self[word] = value
+        if len(self) >= self.most:
+            self.last = dict(self)
+            self.clear()
+        self[word] = value
         return value
 
 
@@ -233,6 +249,11 @@ def _kept() -> dict:
     return sys.modules.setdefault("_landfall_llm_kept", types.ModuleType("_landfall_llm_kept")).__dict__
 
 
+def _few_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, ROWS) for at in range(0, batch.num_rows, ROWS))
+
+
 _WORDS = pa.list_(pa.string())
 
 
@@ -240,7 +261,7 @@ def _words(restorer: Restorer) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _kept().pop("toxicity", None)  # a former job's words
         memory = _Memory(restorer.word)
-        for batch in batches:
+        for batch in _few_rows(batches):
             read = [tokens(t) for t in batch.column("text").to_pylist()]
             found = [sorted(distinct_words(t, memory.__getitem__)) for t in read]
             by_block = [[sorted(distinct_words(b, memory.__getitem__)) for b in blocks(t)] for t in read]
@@ -255,7 +276,7 @@ def _counts(candidates: frozenset | None) -> callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in batches:
+        for batch in _few_rows(batches):
             for words in batch.column("words").to_pylist():
                 own = {f for w in words for f in begins(w)}
                 counts.update(own if candidates is None else own & candidates)
@@ -294,8 +315,9 @@ def fit(known: DataFrame, restorer: Restorer) -> Model:
     def hits(batch: pa.RecordBatch) -> np.ndarray:
         memory = _Memory(model.weight)
         total = np.zeros(2)
-        for y, words in zip(batch.column("y").to_pylist(), batch.column("words").to_pylist()):
-            total[y] += sum(memory[w] > 0 for w in words)
+        for some in _few_rows([batch]):
+            for y, words in zip(some.column("y").to_pylist(), some.column("words").to_pylist()):
+                total[y] += sum(memory[w] > 0 for w in words)
         return total
 
     hits0, hits1 = summed(known, hits, 2)
@@ -306,7 +328,7 @@ def fit(known: DataFrame, restorer: Restorer) -> Model:
     def binned(batch: pa.RecordBatch) -> np.ndarray:
         memory = _Memory(model.weight)
         y = batch.column("y").to_numpy()
-        rows = zip(batch.column("words").to_pylist(), batch.column("blocks").to_pylist())
+        rows = (row for b in _few_rows([batch]) for row in zip(b.column("words").to_pylist(), b.column("blocks").to_pylist()))
         e = np.array([strongest(words, by_block, memory, model.miss) for words, by_block in rows])
         at = np.clip((e - LOW) / (HIGH - LOW) * BINS, 0, BINS - 1).astype(int)
         return np.r_[np.bincount(at, minlength=BINS), np.bincount(at, weights=y, minlength=BINS)].astype(np.float64)
@@ -342,7 +364,11 @@ def text_evidence(text: str, restored: dict[str, str], weight: dict[str, float],
 
 def corpus_restorer(docs: DataFrame) -> Restorer:
     """The restorer under the character counts of all ``docs``."""
-    return Restorer.of(summed(texts(docs).select("text"), lambda b: trigram_counts(b.column("text").to_pylist()), SIZE**3))
+
+    def counts(batch: pa.RecordBatch) -> np.ndarray:
+        return sum(trigram_counts(b.column("text").to_pylist()) for b in _few_rows([batch]))
+
+    return Restorer.of(summed(texts(docs).select("text"), counts, SIZE**3))
 
 
 def restore_texts(docs: DataFrame, restorer: Restorer) -> DataFrame:
@@ -374,7 +400,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         if kept.get("toxicity", (None,))[0] != mark:
             kept["toxicity"] = mark, _Memory(model.restorer.word), _Memory(model.weight)
         _, restored, weight = kept["toxicity"]
-        for batch in batches:
+        for batch in _few_rows(batches):
             found = [text_evidence(text, restored, weight, model.miss) for text in batch.column("text").to_pylist()]
             scores = np.clip(np.interp(found, model.raw, model.share), 0, 1) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])

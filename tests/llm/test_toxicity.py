@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from landfall.llm import toxicity
@@ -80,3 +81,23 @@ def test_blocks_cover_all_words(n):
     assert sorted(set(sum(found, [])), key=int) == words and all(len(b) <= toxicity.BLOCK_WORDS for b in found)
     half = toxicity.BLOCK_WORDS // 2
     assert all(any(set(words[i : i + half]) <= set(b) for b in found) for i in range(0, max(n - half, 1), 7))
+
+
+def test_words_that_are_met_again_are_remembered():
+    asked = []
+    memory = toxicity._Memory(lambda word: asked.append(word) or word, most=2)
+    for word in ["often", "a", "often", "b", "often", "c", "d", "often", "e", "f", "often"]:
+        assert memory[word] == word
+    assert asked.count("often") == 1
+    assert len(memory) + len(memory.last) <= 4
+
+
+def test_a_worker_holds_few_rows_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"text": ["a"] * (2 * toxicity.ROWS + 1)})
+    assert [b.num_rows for b in toxicity._few_rows([batch])] == [toxicity.ROWS, toxicity.ROWS, 1]
+
+
+def test_a_weight_is_that_of_the_strongest_beginning():
+    model = toxicity.Model(None, {"abc": 1.0, "abcd": 2.0, "ab$": 3.0, "x$": 4.0})
+    words = ["abcde", "abcx", "ab", "x", "a", "", "xyz", "ab$c"]
+    assert [model.weight(w) for w in words] == [2.0, 1.0, 3.0, 4.0, 0.0, 0.0, 0.0, 3.0]
