@@ -16,9 +16,12 @@ END = 2
 # Words that a worker keeps in a generation. When it has so many, they become the last generation and a new one starts;
 # words that are met again move on, others are forgotten. Two generations take about 160 MB.
 WORDS = 500_000
+# Of these, words with marks at their end whose letters had been met before, kept as they stand.
+MARKED = 100_000
 
 _LETTERS_ONLY = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+\Z")
-_LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\[-`{-~]+)\Z")
+# Not İ, whose dot is a mark in lower case.
+_LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-/:-@\[-`{-~]+)\Z")
 
 
 def _kept() -> dict:
@@ -32,8 +35,11 @@ class WordTokenizer:
     def __init__(self, path: str) -> None:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        # Words are remembered here, and those that are new are not in the model's own cache either.
+        self.model._resize_cache(0)
         self.ids: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
+        self.marked = 0
         # The tokenizer's own stand-ins for bytes, found by asking it; they serve words of letters,
         # which its normalizer only lower-cases.
         self.bytes_as = {}
@@ -56,15 +62,23 @@ class WordTokenizer:
         found = list(map(self.ids.get, words))
         if None in found:
             if len(self.ids) > WORDS:
-                self.last, self.ids = self.ids, {}
+                self.last, self.ids, self.marked = self.ids, {}, 0
             for at in [i for i, b in enumerate(found) if b is None]:
                 found[at] = self._learnt(words[at])
         return b"".join(found)
 
     def _learnt(self, word: str) -> bytes:
-        """Letters with marks at their end are the most common kind that is met once: two pieces, each kept, but not the whole."""
+        """Letters with marks at their end are the most common kind that is met once: two pieces, each kept, but not the whole
+        unless the letters were known."""
         m = _LETTERS_AND_MARKS.match(word)
-        return self._piece(word) if m is None else self._piece(m[1]) + self._piece(m[2])
+        if m is None:
+            return self._piece(word)
+        known = self.marked < MARKED and len(word) < 64 and m[1] in self.ids
+        b = self._piece(m[1]) + self._piece(m[2])
+        if known:
+            self.marked += 1
+            self.ids[word] = b
+        return b
 
     def _piece(self, piece: str) -> bytes:
         b = self.ids.get(piece)

@@ -485,3 +485,26 @@ def test_pipeline(spark):
     assert set(rows[3]) == {i for i in rows[2] if classes[i] == i}
     packed = corpus_pipeline.run(spark, sf).collect()
     assert {p.doc_id for p in packed} == set(rows[4])
+
+
+def test_marks_at_words_that_come_again(monkeypatch):
+    """A known word with marks is parted once, and ids are the tokenizer's own."""
+    from tokenizers import Tokenizer
+
+    from landfall.llm import tokens
+
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    words = tokens.WordTokenizer(queries.tokenizer_path())
+    text = "alpha, bêta. gamma... alpha),\ngamma"
+    words.encode("alpha bêta gamma")
+    words.encode(text)
+    asked = []
+    learnt = words._learnt
+    monkeypatch.setattr(words, "_learnt", lambda word: asked.append(word) or learnt(word))
+    assert list(np.frombuffer(words.encode(text), "<u4")) == whole.encode(text, add_special_tokens=False).ids
+    assert asked == []
+    odd = [
+        "don't, can't. 's,t", "a.b,c", "a'.b", "x≠y", "é́, é.", "ſ.ſ", "a,'s", "a\t,b", "A-b_c", "555-a,5", "ß~·", "a.,;b", "İ, İ.b", "a, <|endoftext|>b, <|EndOfText|>", "Œ'll!",
+    ]
+    for text in odd:
+        assert list(np.frombuffer(words.encode(text), "<u4")) == whole.encode(text, add_special_tokens=False).ids, text
